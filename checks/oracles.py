@@ -112,15 +112,9 @@ def _add(name: str, sql: str) -> None:
 
 # Marts and staging.
 
-for _name in ("dim_products_latest", "dim_products"):
-    _lost = {"dim_products": " replace (case when source = 'amazon' then null else {c} end as {c})"}
-    if _name == "dim_products":
-        _add(_name, _with(PRODUCTS) + """select * replace (
-            case when source = 'amazon' then null else brand end as brand,
-            case when source = 'amazon' then null else category end as category,
-            case when source = 'amazon' then null else seller end as seller) from dim_products""")
-    else:
-        _add(_name, _with(PRODUCTS) + "select * from dim_products")
+_add("dim_products_latest", _with(PRODUCTS) + "select * from dim_products")
+_add("dim_products", _with(PRODUCTS) + "select * replace (" + ", ".join(
+    f"case when source <> 'amazon' then {c} end as {c}" for c in ("brand", "category", "seller")) + ") from dim_products")
 _add("prepared_sources", _with(LISTINGS) + """
 select product_id, name as product_name, case when source <> 'amazon' then brand end as brand, price, original_price,
   case when source <> 'amazon' then category end as category, case when source <> 'amazon' then seller end as seller,
@@ -301,13 +295,13 @@ _add("cdc_columns", _with(LISTINGS) + """select product_id, source, scraped_at,
 
 # Items.
 
-_TITLE = "array_to_string(list_transform(string_split(p_name, ' '), x -> upper(x[1]) || lower(x[2:])), ' ')"
+_TITLE = "array_to_string([upper(x[1]) || lower(x[2:]) for x in string_split(p_name, ' ')], ' ')"
 _CLEAN = f"""
 base as (
   select l_linenumber as line, cast(l_partkey as varchar) as pid, {_TITLE} as title, p_type, l_extendedprice as amount,
     1 + p_size % 5 as stars, l_orderkey, l_suppkey,
     case l_suppkey % 4 when 0 then 'amazon' when 1 then 'americanas' when 2 then 'kabum' else 'books' end as shop,
-    make_timestamp(epoch_us(l_shipdate) + l_orderkey * 1000000 + l_linenumber * 1000 + l_suppkey) as at
+    make_timestamp(epoch_us(l_shipdate) + l_orderkey * 1000000 + l_linenumber * 1000 + l_suppkey) as made
   from lineitem join part on l_partkey = p_partkey),
 cleaned as (
   select case when line <> 2 then pid end as product_id, case when line = 3 then '' else title end as name,
@@ -316,7 +310,7 @@ cleaned as (
     case line when 4 then null when 5 then 0.0 else amount end as price,
     case when stars <> 5 then cast(stars as int) end as rating,
     'https://' || shop || '.example.org/list' as source,
-    case when line <> 6 then strftime(at, '%Y-%m-%d %H:%M:%S.%f') else '2024-01-31T06:00:00' end as scraped_at
+    case when line <> 6 then strftime(made, '%Y-%m-%d %H:%M:%S.%f') else '2024-01-31T06:00:00' end as scraped_at
   from base),
 reasons as (
   select *, case when product_id is null or name = '' or coalesce(price, 0) = 0 then 'missing: ' || concat_ws(', ',
@@ -424,8 +418,8 @@ _add("configured_listings", f"""select page_id, pos - 1 as pos, names[pos] as na
   cast(null as double) as price
 from (select page_id, regexp_extract_all(html, {_HREF}, 2) as names, regexp_extract_all(html, {_HREF}, 1) as links,
         unnest(generate_series(1, len(regexp_extract_all(html, {_HREF})))) as pos from pages)""")
-_add("page_titles", r"""select page_id, len(replace(regexp_replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '\s+', ' ',
-  'g'), '&amp;', '&')) as name_length, cast(null as varchar) as product_id, cast(null as double) as price, url as source
+_add("page_titles", r"""select page_id, len(replace(trim(regexp_replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '\s+', ' ',
+  'g')), '&amp;', '&')) as name_length, cast(null as varchar) as product_id, cast(null as double) as price, url as source
 from pages""")
 _add("html_links", f"""select page_id, pos - 1 as pos, links[pos] as href,
   regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || links[pos] as link

@@ -29,15 +29,12 @@ def newest_per_key(df: DataFrame, keys: list[str], tiebreak: list[Column] | None
 
 
 def first_per_item(df: DataFrame, arrival: list[str]) -> DataFrame:
-    """The first row per (product_id, source) in arrival order; rows without a product id all stay.
-
-    `arrival` columns tell rows apart. They join the key of rows without an id, which spreads those rows instead
-    of gathering them in one group.
-    """
+    """The first row per (product_id, source) in arrival order; rows without a product id all stay, outside the
+    window, so that they form no group. `df` is read for both parts: pass a stored frame if it is costly."""
     has_id = present(F.col("product_id").cast("string"))
-    key = F.when(has_id, item_hash(F.col("product_id"), F.col("source")))
-    own = F.when(~has_id, F.struct(*arrival))
-    return _first(df, [key, own], [F.col(c) for c in arrival])
+    key = item_hash(F.col("product_id").cast("string"), F.col("source"))
+    first = _first(df.filter(has_id), [key], [F.col(c) for c in arrival] + [row_hash(df)])
+    return first.unionByName(df.filter(~has_id))
 
 
 def first_rows(df: DataFrame, groups: list[str], order: list[str], limit: int, spread: int = 64) -> DataFrame:

@@ -55,8 +55,9 @@ def load_rows(house: Warehouse, shop: str, drops: DataFrame, run_time: datetime)
     """Text rows of a shop's drop files into its raw table: typed, the newest per key, merged."""
     table = f"raw.{shop}"
     sound = drops.filter(F.col(CORRUPT).isNull()) if CORRUPT in drops.columns else drops
-    typed = newest_per_key(add_cdc_columns(coerce_to_raw(sound, shop), run_time), list(house.key(table)))
-    return upsert_table(house, table, typed, run_time)
+    now = F.lit(run_time.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    typed = coerce_to_raw(sound, shop).withColumns({c: F.coalesce(c, now) for c in ("updated_at", "_extract_ts")})
+    return upsert_table(house, table, newest_per_key(typed, list(house.key(table))), run_time)
 
 
 def load_files(house: Warehouse, shop: str, paths: list[str], run_time: datetime, kind: str = "json",

@@ -18,8 +18,10 @@ def _zero(value: Column) -> Column:
 
 
 def _products(payloads: DataFrame, array: Column) -> DataFrame:
+    """One row per array element. The array stays an expression inside the generator: as a column of its own, the
+    optimizer would infer filters on it and parse every payload again for them."""
     kept = [c for c in payloads.columns if c != "body"]
-    return payloads.select(*kept, array.alias("_list")).select(*kept, F.posexplode("_list").alias("pos", "p"))
+    return payloads.select(*kept, F.posexplode(array).alias("pos", "p"))
 
 
 def vtex_listings(payloads: DataFrame) -> DataFrame:

@@ -42,15 +42,20 @@ def load_new_files(house: Warehouse, shop: str, folder: str, checkpoint: str, ru
             .trigger(availableNow=True).start())
 
 
+def _timed(items: DataFrame) -> DataFrame:
+    """Watermarks need a time with zone."""
+    return items.withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
+
+
 def first_seen(items: DataFrame, delay: str) -> DataFrame:
     """The first item per (product_id, source) in a stream; keys older than the watermark are forgotten."""
-    keyed = items.withColumn("item_hash", item_hash(F.col("product_id"), F.col("source")))
+    keyed = _timed(items).withColumn("item_hash", item_hash(F.col("product_id"), F.col("source")))
     return keyed.withWatermark("scraped_at", delay).dropDuplicatesWithinWatermark(["item_hash"])
 
 
 def daily_volume(items: DataFrame, delay: str) -> DataFrame:
     """Items per day and source of a stream; days end when the watermark has passed them."""
-    return (items.withWatermark("scraped_at", delay)
+    return (_timed(items).withWatermark("scraped_at", delay)
             .groupBy(F.window("scraped_at", "1 day").alias("day"), "source").agg(F.count("*").alias("count"))
             .select(F.col("day.start").alias("scraped_date"), "source", "count"))
 

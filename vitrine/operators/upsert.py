@@ -26,22 +26,18 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     conflict: they by-pass the join, so any number of them stays spread over the tasks. Both sides hold a key at
     most once, so the join has no hot key; a target bucketed by the key is not shuffled.
     """
-    unknown = set(batch.columns) - set(target.columns)
-    if unknown:
-        raise ValueError(f"batch columns not in the target: {sorted(unknown)}")
-    types = {f.name: f.dataType for f in target.schema}
-    batch = batch.select([F.col(c).cast(types[c]).alias(c) for c in batch.columns])
-    old = target.filter(_has_key(keys)).withColumn("_old", F.lit(True)).alias("old")
+    columns, given = target.columns, set(batch.columns)
+    if given - set(columns):
+        raise ValueError(f"batch columns not in the target: {sorted(given - set(columns))}")
+    types = {f.name: f.dataType.simpleString() for f in target.schema}
+    batch = batch.selectExpr(*[f"cast(`{c}` as {types[c]}) as `{c}`" for c in batch.columns])
+    old = target.filter(_has_key(keys)).alias("old")
     new = batch.filter(_has_key(keys)).withColumn("_new", F.lit(True)).alias("new")
-    joined = old.join(new, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys], "full")
-
-    def merged(c: str) -> Column:
-        if c not in batch.columns:
-            return F.col(f"old.{c}").alias(c)
-        return F.when(F.col("new._new"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
-
+    joined = old.join(new, F.expr(" and ".join(f"old.`{k}` = new.`{k}`" for k in keys)), "full")
+    merged = joined.selectExpr(*[f"if(new._new, new.`{c}`, old.`{c}`) as `{c}`" if c in given else f"old.`{c}`"
+                                 for c in columns])
     keyless = target.filter(~_has_key(keys)).unionByName(batch.filter(~_has_key(keys)), allowMissingColumns=True)
-    return joined.select([merged(c) for c in target.columns]).unionByName(keyless)
+    return merged.unionByName(keyless)
 
 
 def insert_only(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

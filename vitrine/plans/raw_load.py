@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,7 +12,7 @@ from ..operators.dedup import newest_per_key
 from ..operators.lineage import lineage_row, with_lineage_id
 from ..operators.upsert import add_cdc_columns, change_rows, insert_only, upsert
 from ..schemas import SHOPS
-from ..session import stored
+from ..session import in_parallel, stored
 from ..sources.catalog import Warehouse
 from ..sources.files import (CORRUPT, coerce_to_raw, drop_schema, list_files, read_json_drops, read_parquet_drops,
                              read_shop_drops)
@@ -21,33 +22,42 @@ class EmptyBatch(ValueError):
     """A batch without rows."""
 
 
+def batch_facts(batch: DataFrame, table: str, required: tuple[str, ...] = (), min_rows: int = 0
+                ) -> tuple[int, list[str]]:
+    """Row count and warnings (too few rows, NULLs in required columns) in one pass."""
+    facts = batch.agg(F.count("*").alias("_n"), *[
+        F.count_if(F.col(c).isNull()).alias(c) for c in required if c in batch.columns]).first().asDict()
+    count = facts.pop("_n")
+    few = [f"{table}: {count} rows, at least {min_rows} are needed"] if count < min_rows else []
+    return count, few + [f"{table}: {n} NULL in {c}" for c, n in facts.items() if n]
+
+
 def upsert_table(house: Warehouse, table: str, batch: DataFrame, run_time: datetime,
-                 keys: tuple[str, ...] | None = None, ignore_conflicts: bool = False,
-                 track_changes: bool = True) -> int:
+                 keys: tuple[str, ...] | None = None, ignore_conflicts: bool = False, track_changes: bool = True,
+                 required: tuple[str, ...] = (), warnings: list[str] | None = None) -> int:
     """Merge a batch (each key once) into a table, adding CDC columns; returns the batch's row count.
 
-    An empty batch changes nothing. `ignore_conflicts` inserts new keys only.
+    An empty batch changes nothing. `ignore_conflicts` inserts new keys only. The batch is written once: facts,
+    merge and change rows read it from there.
     """
     keys = list(keys or house.key(table) or ("product_id",))
-    batch = stored(add_cdc_columns(batch, run_time), "batch")
-    count = batch.count()
+    batch = stored(add_cdc_columns(batch, run_time), table)
+    count, found = batch_facts(batch, table, required)
+    if warnings is not None:
+        warnings.extend(found)
     if count == 0:
         return 0
-    if not house.exists(table):
-        house.replace(table, batch)
-        target = house.read(table).limit(0)
-    else:
-        target = house.read(table)
-        if ignore_conflicts:
-            merged = target.unionByName(insert_only(target, batch, keys), allowMissingColumns=True)
-        else:
-            merged = upsert(target, batch, keys)
-        if track_changes:
-            house.append("lineage.change_tracking", change_rows(target, batch, keys, table, run_time))
-        house.replace(table, merged)
-        return count
+    target = house.read(table) if house.exists(table) else None
     if track_changes:
-        house.append("lineage.change_tracking", change_rows(target, batch, keys, table, run_time))
+        known = batch.limit(0) if target is None else target
+        house.append("lineage.change_tracking", change_rows(known, batch, keys, table, run_time))
+    if target is None:
+        merged = batch
+    elif ignore_conflicts:
+        merged = target.unionByName(insert_only(target, batch, keys), allowMissingColumns=True)
+    else:
+        merged = upsert(target, batch, keys)
+    house.replace(table, merged)
     return count
 
 
@@ -107,22 +117,24 @@ def load_directory(house: Warehouse, data_dir: str, run_time: datetime) -> DataF
     rewritten once.
     """
     house.create_all()
-    results = None
-    for shop in SHOPS:
+    now = F.lit(run_time.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+    def load(shop: str) -> DataFrame | None:
         drops = read_shop_drops(house.spark, data_dir, shop)
         if drops is None:
-            continue
+            return None
         drops = stored(drops, f"drops-{shop}")
         load_rows(house, shop, drops, run_time)
         per_file = stored(file_results(house, data_dir, shop, drops, house.key(f"raw.{shop}")), f"files-{shop}")
-        now = F.lit(run_time.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
         runs = per_file.filter((F.col("count") > 0) | (F.col("status") == "error")).select(
             F.substring("file", -100, 100).alias("source_name"), F.lit("file").alias("source_type"),
             F.lit("raw").alias("target_schema"), F.lit(shop).alias("target_table"), F.lit("load").alias("operation"),
             F.col("count").alias("record_count"), now.alias("execution_time"), "status",
             F.col("error").alias("error_message"))
         house.append("lineage.data_lineage", with_lineage_id(runs))
-        results = per_file if results is None else results.unionByName(per_file)
-    if results is None:
+        return per_file
+
+    results = [r for r in in_parallel(load, SHOPS) if r is not None]
+    if not results:
         return house.spark.createDataFrame([], "shop string, file string, status string, count bigint, error string")
-    return results
+    return reduce(DataFrame.unionByName, results)

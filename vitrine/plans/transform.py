@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import SHOPS
-from ..session import stored
+from ..session import in_parallel
 from ..sources.catalog import Warehouse
 from . import marts, staging
 from .raw_load import upsert_table
@@ -18,15 +18,6 @@ REQUIRED = {"staging": ("product_id", "name"), "dim_books": ("book_id", "book_na
             "dim_products": ("id", "product_name", "price")}
 
 
-def batch_warnings(df: DataFrame, table: str, required: tuple[str, ...], min_rows: int = 0) -> list[str]:
-    """Warnings on a batch: too few rows, NULLs in required columns; one pass for all."""
-    facts = df.agg(F.count("*").alias("_n"),
-                   *[F.count_if(F.col(c).isNull()).alias(c) for c in required if c in df.columns]).first().asDict()
-    total = facts.pop("_n")
-    few = [f"{table}: {total} rows, at least {min_rows} are needed"] if total < min_rows else []
-    return few + [f"{table}: {n} NULL in {c}" for c, n in facts.items() if n]
-
-
 def _since(df: DataFrame, since: datetime | None) -> DataFrame:
     if since is None:
         return df
@@ -36,19 +27,15 @@ def _since(df: DataFrame, since: datetime | None) -> DataFrame:
 def transform_staging(house: Warehouse, shop: str, run_time: datetime, since: datetime | None = None,
                       warnings: list[str] | None = None) -> int:
     """One shop's raw rows into its staging table; `since` reads only rows extracted after that time."""
-    table = f"staging.stg_{shop}"
-    batch = stored(staging.staging(_since(house.read(f"raw.{shop}"), since), shop), table)
-    if warnings is not None:
-        warnings.extend(batch_warnings(batch, table, REQUIRED["staging"]))
-    return upsert_table(house, table, batch, run_time, track_changes=False)
+    rows = staging.staging(_since(house.read(f"raw.{shop}"), since), shop)
+    return upsert_table(house, f"staging.stg_{shop}", rows, run_time, track_changes=False,
+                        required=REQUIRED["staging"], warnings=warnings)
 
 
 def transform_dim_books(house: Warehouse, run_time: datetime, warnings: list[str] | None = None) -> int:
     """All books: a category's average moves with any of its books."""
-    batch = stored(marts.dim_books(house.read("staging.stg_books")), "dim_books")
-    if warnings is not None:
-        warnings.extend(batch_warnings(batch, "marts.dim_books", REQUIRED["dim_books"]))
-    return upsert_table(house, "marts.dim_books", batch, run_time, track_changes=False)
+    return upsert_table(house, "marts.dim_books", marts.dim_books(house.read("staging.stg_books")), run_time,
+                        track_changes=False, required=REQUIRED["dim_books"], warnings=warnings)
 
 
 def transform_dim_products(house: Warehouse, run_time: datetime, since: datetime | None = None,
@@ -57,21 +44,23 @@ def transform_dim_products(house: Warehouse, run_time: datetime, since: datetime
              if house.exists(f"staging.stg_{s}")}
     if not shops:
         return 0
-    batch = stored(marts.dim_products(shops), "dim_products")
-    if warnings is not None:
-        warnings.extend(batch_warnings(batch, "marts.dim_products", REQUIRED["dim_products"]))
-    return upsert_table(house, "marts.dim_products", batch, run_time, track_changes=False)
+    return upsert_table(house, "marts.dim_products", marts.dim_products(shops), run_time, track_changes=False,
+                        required=REQUIRED["dim_products"], warnings=warnings)
 
 
 def run_staging(house: Warehouse, run_time: datetime, since: datetime | None = None,
                 warnings: list[str] | None = None) -> dict[str, int]:
-    return {f"stg_{s}": transform_staging(house, s, run_time, since, warnings) for s in SHOPS}
+    counts = in_parallel(lambda shop: transform_staging(house, shop, run_time, since, warnings), SHOPS)
+    return {f"stg_{shop}": n for shop, n in zip(SHOPS, counts)}
 
 
 def run_marts(house: Warehouse, run_time: datetime, since: datetime | None = None,
               warnings: list[str] | None = None) -> dict[str, int]:
-    books = transform_dim_books(house, run_time, warnings) if house.exists("staging.stg_books") else 0
-    return {"dim_books": books, "dim_products": transform_dim_products(house, run_time, since, warnings)}
+    jobs = {"dim_products": lambda: transform_dim_products(house, run_time, since, warnings)}
+    if house.exists("staging.stg_books"):
+        jobs["dim_books"] = lambda: transform_dim_books(house, run_time, warnings)
+    counts = dict(zip(jobs, in_parallel(lambda name: jobs[name](), jobs)))
+    return {"dim_books": counts.get("dim_books", 0), "dim_products": counts["dim_products"]}
 
 
 def run_all(house: Warehouse, run_time: datetime, since: datetime | None = None) -> dict:

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T, R = TypeVar("T"), TypeVar("R")
+
 
 def build_session(app: str = "vitrine", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs expect; `conf` adds or overrides (dots written as `__`)."""
@@ -48,6 +54,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def in_parallel(work: Callable[[T], R], inputs: Iterable[T]) -> list[R]:
+    """Run independent jobs side by side, so that short stages of one fill the executors another leaves idle."""
+    inputs = list(inputs)
+    with ThreadPoolExecutor(max_workers=max(len(inputs), 1)) as pool:
+        return list(pool.map(inheritable_thread_target(work), inputs))
+
+
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` to the shared folder and read it back.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import threading
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,12 +19,14 @@ class Warehouse:
     `prefix` goes before the schema names, `location` is the folder that holds them (default: the session's
     warehouse). A replaced table is written as a new version beside the old one, then the view that carries its
     name is switched. Readers always find the name, a failed write leaves the old version in place, and a plan may
-    read the table it replaces. Versions are bucketed by the table's key, so an upsert shuffles the batch only.
+    read the table it replaces. Versions are bucketed by the table's key, so an upsert shuffles the batch only;
+    with fewer `buckets` than shuffle partitions (the default is as many) Spark would shuffle both sides.
     """
 
     def __init__(self, spark: SparkSession, prefix: str = "", location: str | None = None,
                  buckets: int | None = None):
         self.spark, self.prefix, self.location = spark, prefix, location
+        self._append_lock = threading.Lock()
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def name(self, table: str) -> str:
@@ -79,8 +82,10 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}__v{number}")
 
     def append(self, table: str, df: DataFrame) -> None:
+        """Add rows. Appends of one process take turns: commits into one folder share its temporary files."""
         self.create_schema(table.split(".")[0])
-        df.write.mode("append").format("parquet").saveAsTable(self.name(table))
+        with self._append_lock:
+            df.write.mode("append").format("parquet").saveAsTable(self.name(table))
 
     def truncate(self, table: str) -> None:
         """Empty a table and, as they would be left without parents, the tables that refer to it."""

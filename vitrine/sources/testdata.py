@@ -191,9 +191,11 @@ def _amount(cents: Column) -> Column:
 
 
 def _page(lines: DataFrame, url: Column, *parts: str | Column) -> DataFrame:
+    """A page per line, spread over the cores: parsing pages is the costly part, and a small table is one partition."""
+    spread = lines.repartition(lines.sparkSession.sparkContext.defaultParallelism, *SEQUENCE)
     html = F.concat(F.lit("<!DOCTYPE html><html><body>"), *[F.lit(p) if isinstance(p, str) else p for p in parts],
                     F.lit("</body></html>"))
-    return lines.select(*SEQUENCE, F.col("seq_order").alias("page_id"), url.alias("url"), html.alias("html"))
+    return spread.select(*SEQUENCE, F.col("seq_order").alias("page_id"), url.alias("url"), html.alias("html"))
 
 
 # Rating words by number.

@@ -550,6 +550,32 @@ _found = [
     "select 'extract' as stage, 'extract_rowcount_missing_table' as test, 'FAIL' as status, "
     "'missing_table nao existe' as message",
 ]
+
+
+def _key(table, source, column):
+    return _row("load", f"key_{table}", f"select count(*) as n from (select {column} from {source} group by {column} "
+                "having count(*) > 1)", "= 0", f"'raw.{table}: ' || n || ' chaves repetidas'")
+
+
+def _fk(table, source, column, parent):
+    return _row("load", f"load_fk_{table}_{column}", f"select count(*) as n from {source} c anti join {parent} p "
+                f"on c.{column} = p.{column}", "= 0", f"'raw.{table}.{column}: ' || n || ' chaves invalidas'")
+
+
+def _length(table, source, column, limit):
+    return _row("load", f"length_{table}_{column}", f"select count(*) as n from {source} where len({column}) > {limit}",
+                "= 0", f"'raw.{table}.{column}: ' || n || ' textos longos demais'")
+
+
+_add("definition_checks", _with(ORDERS) + "\nunion all ".join(
+    [_key("customers", "stg_customers", "customer_id"), _key("products", "stg_products", "product_id"),
+     _key("orders", "stg_orders", "order_id"), _key("order_items", "items", "order_id"),
+     _fk("orders", "stg_orders", "customer_id", "stg_customers"), _fk("order_items", "items", "order_id", "stg_orders"),
+     _fk("order_items", "items", "product_id", "stg_products"), _length("products", "(select *, product_name as name from "
+     "stg_products)", "name", 255), _length("products", "stg_products", "category", 100),
+     _length("orders", "stg_orders", "status", 50)]
+    + [_length("customers", "stg_customers", c, n) for c, n in dict(
+        first_name=100, last_name=100, email=255, phone=20, city=100, state=50).items()]))
 _FOUND = _with(LISTINGS, ORDERS, "\nresults as (" + "\nunion all ".join(_found) + ")")
 _add("snapshot_checks", _FOUND + "select * from results")
 _add("failed_checks", _FOUND + "select stage, test from results where status = 'FAIL'")

@@ -699,6 +699,17 @@ def snapshot_checks(spark, sf):
     return quality.run_checks(spark, _snapshot_checks(), tables.get)
 
 
+@query
+def definition_checks(spark, sf):
+    """Keys, parents and text lengths of the order tables, by their definitions."""
+    null = F.lit(None).cast("string")
+    tables = {
+        "raw.customers": td.raw_customers(spark, sf).withColumns({"email": null, "phone": null}),
+        "raw.products": td.raw_products(spark, sf), "raw.orders": td.raw_orders(spark, sf),
+        "raw.order_items": td.raw_order_items(spark, sf).withColumn("order_item_id", F.col("order_id"))}
+    return quality.run_checks(spark, [c for t in tables for c in quality.definition_checks(t)], tables.get)
+
+
 @query
 def failed_checks(spark, sf):
     return quality.failed(snapshot_checks(spark, sf)).select("stage", "test")

@@ -113,3 +113,37 @@ def test_checks_share_one_scan_per_table(spark):
     assert quality.by_stage(result, "cdc").count() == 1 and quality.failed(result).count() == 6
     plan = result._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("count_if") + plan.count("Aggregate") < 12
+
+
+def test_definition_checks(spark):
+    orders = spark.createDataFrame([(1, 1, "x" * 51), (1, 9, "ok"), (None, None, None), (None, 1, None)],
+                                   "order_id bigint, customer_id bigint, status string")
+    customers = spark.createDataFrame([(1,)], "customer_id bigint")
+    result = quality.run_checks(spark, quality.definition_checks("raw.orders"), {"raw.orders": orders, "raw.customers": customers}.get)
+    assert rows(result, "test", "status", "message") == [
+        ("key_orders", "FAIL", "raw.orders: 1 chaves repetidas"),
+        ("length_orders_status", "FAIL", "raw.orders.status: 1 textos longos demais"),
+        ("load_fk_orders_customer_id", "FAIL", "raw.orders.customer_id: 2 chaves invalidas")]
+
+
+def test_a_hot_order_is_split(spark):
+    """One order with nearly all items: AQE cuts its partition into several tasks."""
+    orders = spark.range(200).select(F.col("id").alias("order_id"), F.col("id").alias("customer_id"), F.lit("2024-01-01").alias("order_date"))
+    items = spark.range(60000).select(F.when(F.col("id") % 20 > 0, 7).otherwise(F.col("id") % 200).alias("order_id"),
+                                      F.col("id").alias("product_id"), F.lit(2).alias("quantity"), F.rand(1).alias("unit_price"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = sales.int_order_items(sales.stg_orders(orders), items)
+        assert joined.filter("order_id = 7").count() > 50000
+        assert len(joined.collect()) == 60000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert "skew=true" in plan

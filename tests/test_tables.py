@@ -38,7 +38,7 @@ def test_cdc_columns_are_only_added_when_missing(spark):
 
 def test_bucketed_target_is_not_shuffled(spark, house):
     house.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    old = spark.range(100).select(F.col("id").cast("string").alias("product_id"), F.lit("s").alias("source"), F.lit(1).alias("v"))
+    old = spark.range(100).select(F.col("id").cast("string").alias("product_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.lit(1).alias("v"))
     spark.sql(f"create schema if not exists {house.prefix}raw")
     house.replace("raw.books", old)
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -28,13 +28,16 @@ def newest_per_key(df: DataFrame, keys: list[str], tiebreak: list[Column] | None
     return _first(df, keys, order + (tiebreak or [row_hash(df)]))
 
 
-def first_per_item(df: DataFrame, arrival: list[str]) -> DataFrame:
+def first_per_item(df: DataFrame, arrival: list[str], all_have_id: bool = False) -> DataFrame:
     """The first row per (product_id, source) in arrival order; rows without a product id all stay, outside the
-    window, so that they form no group. `df` is read for both parts: pass a stored frame if it is costly."""
+    window, so that they form no group. `df` is then read for both parts: pass a stored frame if it is costly, or
+    `all_have_id` when validation has removed such rows."""
     has_id = present(F.col("product_id").cast("string"))
     key = item_hash(F.col("product_id").cast("string"), F.col("source"))
-    first = _first(df.filter(has_id), [key], [F.col(c) for c in arrival] + [row_hash(df)])
-    return first.unionByName(df.filter(~has_id))
+    order = [F.col(c) for c in arrival] + [row_hash(df)]
+    if all_have_id:
+        return _first(df, [key], order)
+    return _first(df.filter(has_id), [key], order).unionByName(df.filter(~has_id))
 
 
 def first_rows(df: DataFrame, groups: list[str], order: list[str], limit: int, spread: int = 64) -> DataFrame:

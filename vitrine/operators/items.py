@@ -71,4 +71,4 @@ def rejected_items(df: DataFrame) -> DataFrame:
 def item_chain(df: DataFrame, run_time: datetime, arrival: list[str], validate: bool = True) -> DataFrame:
     """Clean, validate (shops with trusted payloads skip this) and keep the first of each item."""
     cleaned = clean_items(df, run_time)
-    return first_per_item(valid_items(cleaned) if validate else cleaned, arrival)
+    return first_per_item(valid_items(cleaned), arrival, all_have_id=True) if validate else first_per_item(cleaned, arrival)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -51,9 +51,9 @@ def run_summary(lineage: DataFrame) -> DataFrame:
             .orderBy("source_name", "target_table"))
 
 
-def daily_stats(lineage: DataFrame, day: date) -> DataFrame:
-    """Totals per target on one day; a range test on the time itself, so it reaches the scan."""
-    at = F.col("execution_time")
+def daily_stats(lineage: DataFrame, day: date | None = None) -> DataFrame:
+    """Totals per target on one day (default: today, UTC); a range test on the time itself reaches the scan."""
+    at, day = F.col("execution_time"), day or datetime.now(timezone.utc).date()
     return (lineage.filter((at >= F.lit(str(day)).cast("timestamp"))
                            & (at < F.lit(str(day + timedelta(days=1))).cast("timestamp")))
             .groupBy("target_schema", "target_table")

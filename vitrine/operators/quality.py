@@ -13,12 +13,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import number
-from ..schemas import CDC_COLUMNS, CHECK_RESULT
+from ..schemas import CDC_COLUMNS, CHECK_RESULT, TABLES
 
 
 @dataclass(frozen=True)
 class Check:
-    """One check: `kind` is a key of `KINDS` or `columns`, `duplicates`, `unique`, `references`."""
+    """One check: `kind` is a key of `KINDS` or `columns`, `cdc`, `duplicates`, `unique`, `key`, `references`."""
 
     stage: str
     kind: str
@@ -29,6 +29,7 @@ class Check:
     values: tuple[str, ...] = ()
     parent: str | None = None
     parent_column: str | None = None
+    max_length: int = 0
     test: str | None = None
 
     @property
@@ -47,7 +48,7 @@ NAMES = {
     "not_empty": "extract_notempty_{b}", "not_null": "{s}_notnull_{b}_{c}", "not_null@transform": "transform_null_{b}_{c}",
     "duplicates": "transform_dedup_{b}_{c}", "unique": "load_unique_{b}_{c}",
     "numeric": "transform_dtype_{b}_{c}", "references": "load_fk_{b}_{c}", "positive": "positive_{b}_{c}",
-    "in_set": "value_in_set_{b}_{c}", "lineage": "lineage_exists",
+    "in_set": "value_in_set_{b}_{c}", "lineage": "lineage_exists", "length": "length_{b}_{c}", "key": "key_{b}",
 }
 MESSAGES = {
     "rows": "{t} tem {n} registros (minimo: {m})", "not_empty": "{t} ({n} registros)",
@@ -55,6 +56,7 @@ MESSAGES = {
     "unique": "{t}.{c}: {n} duplicatas", "numeric": "{t}.{c}: {n} valores nao numericos",
     "references": "{t}.{c}: {n} chaves invalidas", "positive": "{t}.{c}: {n} negativos",
     "in_set": "{t}.{c}: {n} invalidos", "lineage": "{t} tem {n} registros",
+    "length": "{t}.{c}: {n} textos longos demais", "key": "{t}: {n} chaves repetidas",
 }
 
 # Counts a single scan can take: kind to the Column that counts.
@@ -65,13 +67,14 @@ KINDS: dict[str, Callable[[Check], Column]] = {
     "not_null": lambda k: F.count_if(F.col(k.column).isNull()),
     "numeric": lambda k: F.count_if(_not_numeric(F.col(k.column))),
     "positive": lambda k: F.count_if(F.col(k.column) < 0),
+    "length": lambda k: F.count_if(F.length(k.column) > k.max_length),
     "in_set": lambda k: F.count_if(~F.coalesce(F.col(k.column).isin(*k.values), F.lit(False))),
 }
 
 
-def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
+def duplicate_keys(df: DataFrame, *columns: str) -> DataFrame:
     """How many keys occur more than once (`n`), and how many rows they have together (`n_rows`)."""
-    return (df.groupBy(column).count().filter("count > 1")
+    return (df.groupBy(*columns).count().filter("count > 1")
             .agg(F.count("*").alias("n"), F.coalesce(F.sum("count"), F.lit(0)).alias("n_rows")))
 
 
@@ -110,7 +113,7 @@ def _column_rows(spark: SparkSession, checks: list[Check], tables: dict[str, Dat
     rows = []
     for k in checks:
         df = tables[k.table]
-        wanted = k.columns or (CDC_COLUMNS if k.kind == "cdc" else ())
+        wanted = CDC_COLUMNS if k.kind == "cdc" and not k.columns else k.columns
         missing = [c for c in wanted if df is None or c not in df.columns]
         if df is None:
             message = f"{k.table} nao existe"
@@ -140,6 +143,9 @@ def run_checks(spark: SparkSession, checks: list[Check], resolve: Callable[[str]
         for k in mine:
             if k.kind == "duplicates":
                 parts.append(duplicate_keys(df, k.column).select(_result(k, F.col("n")).alias("r")).select("r.*"))
+            elif k.kind == "key":  # as a unique constraint: a key with a NULL equals no other
+                keyed = df.dropna(subset=list(k.columns))
+                parts.append(duplicate_keys(keyed, *k.columns).select(_result(k, F.col("n")).alias("r")).select("r.*"))
             elif k.kind == "unique":
                 parts.append(duplicate_keys(df, k.column).select(_result(k, F.col("n_rows")).alias("r")).select("r.*"))
             elif k.kind == "references":
@@ -186,6 +192,15 @@ def mart_suite() -> list[Check]:
                      Check("marts", "in_set", "marts.dim_products", "price_tier", values=MART_TIERS)]
 
 
+def definition_checks(table: str, stage: str = "load") -> list[Check]:
+    """What a table's definition promises and Spark does not enforce: key, parents, text lengths."""
+    definition = TABLES[table]
+    checks = [Check(stage, "key", table, columns=definition.key)] if definition.key else []
+    checks += [Check(stage, "references", table, child, parent=parent, parent_column=column)
+               for child, (parent, column) in definition.parents.items()]
+    return checks + [Check(stage, "length", table, c, max_length=n) for c, n in definition.limits.items()]
+
+
 def by_stage(results: DataFrame, stage: str) -> DataFrame:
     return results.filter(F.col("stage") == stage)
 

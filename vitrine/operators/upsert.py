@@ -36,8 +36,9 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     joined = old.join(new, F.expr(" and ".join(f"old.`{k}` = new.`{k}`" for k in keys)), "full")
     merged = joined.selectExpr(*[f"if(new._new, new.`{c}`, old.`{c}`) as `{c}`" if c in given else f"old.`{c}`"
                                  for c in columns])
-    keyless = target.filter(~_has_key(keys)).unionByName(batch.filter(~_has_key(keys)), allowMissingColumns=True)
-    return merged.unionByName(keyless)
+    keyless = batch.filter(~_has_key(keys)).selectExpr(*[
+        f"`{c}`" if c in given else f"cast(null as {types[c]}) as `{c}`" for c in columns])
+    return merged.union(target.filter(~_has_key(keys))).union(keyless)
 
 
 def insert_only(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

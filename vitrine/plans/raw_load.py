@@ -12,7 +12,7 @@ from ..operators.dedup import newest_per_key
 from ..operators.lineage import lineage_row, with_lineage_id
 from ..operators.upsert import add_cdc_columns, change_rows, insert_only, upsert
 from ..schemas import SHOPS
-from ..session import in_parallel, stored
+from ..session import in_parallel, measured, stored
 from ..sources.catalog import Warehouse
 from ..sources.files import (CORRUPT, coerce_to_raw, drop_schema, list_files, read_json_drops, read_parquet_drops,
                              read_shop_drops)
@@ -22,14 +22,14 @@ class EmptyBatch(ValueError):
     """A batch without rows."""
 
 
-def batch_facts(batch: DataFrame, table: str, required: tuple[str, ...] = (), min_rows: int = 0
-                ) -> tuple[int, list[str]]:
-    """Row count and warnings (too few rows, NULLs in required columns) in one pass."""
-    facts = batch.agg(F.count("*").alias("_n"), *[
-        F.count_if(F.col(c).isNull()).alias(c) for c in required if c in batch.columns]).first().asDict()
+def measured_batch(batch: DataFrame, table: str, required: tuple[str, ...] = (), min_rows: int = 0
+                   ) -> tuple[DataFrame, int, list[str]]:
+    """The batch written once, its row count, and warnings (too few rows, NULLs in required columns)."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in required if c in batch.columns]
+    batch, facts = measured(batch, table, F.count(F.lit(1)).alias("_n"), *nulls)
     count = facts.pop("_n")
     few = [f"{table}: {count} rows, at least {min_rows} are needed"] if count < min_rows else []
-    return count, few + [f"{table}: {n} NULL in {c}" for c, n in facts.items() if n]
+    return batch, count, few + [f"{table}: {n} NULL in {c}" for c, n in facts.items() if n]
 
 
 def upsert_table(house: Warehouse, table: str, batch: DataFrame, run_time: datetime,
@@ -41,8 +41,7 @@ def upsert_table(house: Warehouse, table: str, batch: DataFrame, run_time: datet
     merge and change rows read it from there.
     """
     keys = list(keys or house.key(table) or ("product_id",))
-    batch = stored(add_cdc_columns(batch, run_time), table)
-    count, found = batch_facts(batch, table, required)
+    batch, count, found = measured_batch(add_cdc_columns(batch, run_time), table, required)
     if warnings is not None:
         warnings.extend(found)
     if count == 0:
@@ -134,7 +133,7 @@ def load_directory(house: Warehouse, data_dir: str, run_time: datetime) -> DataF
         house.append("lineage.data_lineage", with_lineage_id(runs))
         return per_file
 
-    results = [r for r in in_parallel(load, SHOPS) if r is not None]
+    results = [r for r in in_parallel(house.spark, load, SHOPS) if r is not None]
     if not results:
         return house.spark.createDataFrame([], "shop string, file string, status string, count bigint, error string")
     return reduce(DataFrame.unionByName, results)

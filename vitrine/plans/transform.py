@@ -50,7 +50,7 @@ def transform_dim_products(house: Warehouse, run_time: datetime, since: datetime
 
 def run_staging(house: Warehouse, run_time: datetime, since: datetime | None = None,
                 warnings: list[str] | None = None) -> dict[str, int]:
-    counts = in_parallel(lambda shop: transform_staging(house, shop, run_time, since, warnings), SHOPS)
+    counts = in_parallel(house.spark, lambda shop: transform_staging(house, shop, run_time, since, warnings), SHOPS)
     return {f"stg_{shop}": n for shop, n in zip(SHOPS, counts)}
 
 
@@ -59,7 +59,7 @@ def run_marts(house: Warehouse, run_time: datetime, since: datetime | None = Non
     jobs = {"dim_products": lambda: transform_dim_products(house, run_time, since, warnings)}
     if house.exists("staging.stg_books"):
         jobs["dim_books"] = lambda: transform_dim_books(house, run_time, warnings)
-    counts = dict(zip(jobs, in_parallel(lambda name: jobs[name](), jobs)))
+    counts = dict(zip(jobs, in_parallel(house.spark, lambda name: jobs[name](), jobs)))
     return {"dim_books": counts.get("dim_books", 0), "dim_products": counts["dim_products"]}
 
 

@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 T, R = TypeVar("T"), TypeVar("R")
 
@@ -54,11 +54,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def in_parallel(work: Callable[[T], R], inputs: Iterable[T]) -> list[R]:
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out to all cores; a scan with enough splits stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def in_parallel(spark: SparkSession, work: Callable[[T], R], inputs: Iterable[T]) -> list[R]:
     """Run independent jobs side by side, so that short stages of one fill the executors another leaves idle."""
     inputs = list(inputs)
     with ThreadPoolExecutor(max_workers=max(len(inputs), 1)) as pool:
-        return list(pool.map(inheritable_thread_target(work), inputs))
+        return list(pool.map(inheritable_thread_target(spark)(work), inputs))
 
 
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -68,6 +74,11 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     gives the planner the exact size: a small result is then broadcast by Spark's own size check
     (`spark.sql.autoBroadcastJoinThreshold`), a large one is shuffled.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return measured(df, label)[0]
+
+
+def measured(df: DataFrame, label: str, *metrics: Column) -> tuple[DataFrame, dict]:
+    """As `stored`, with aggregate metrics taken while writing."""
+    path, seen = scratch_path(df.sparkSession, label), Observation()
+    (df.observe(seen, *metrics) if metrics else df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), dict(seen.get) if metrics else {}

@@ -45,12 +45,21 @@ class Warehouse:
         for schema in SCHEMAS:
             self.create_schema(schema)
         for table, definition in TABLES.items():
-            if not self.exists(table):
-                empty = self.spark.createDataFrame([], definition.schema)
-                if table.startswith("lineage."):
-                    empty.write.saveAsTable(self.name(table))
-                else:
-                    self.replace(table, empty)
+            if self.exists(table):
+                continue
+            if versions := self._versions(table):  # written, but the switch of the view was cut off
+                self._show(table, versions[-1])
+                continue
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in definition.schema.fields)
+            if table.startswith("lineage."):
+                self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}) USING parquet")
+            else:
+                self.spark.sql(f"CREATE TABLE {self.name(table)}__v1 ({columns}) USING parquet CLUSTERED BY "
+                               f"({', '.join(definition.key)}) INTO {self.buckets} BUCKETS")
+                self._show(table, 1)
+
+    def _show(self, table: str, version: int) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} AS SELECT * FROM {self.name(table)}__v{version}")
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
@@ -65,19 +74,19 @@ class Warehouse:
 
     def _versions(self, table: str) -> list[int]:
         schema, base = self._split(table)
-        names = [t.name for t in self.spark.catalog.listTables(schema, f"{base}__v*")]
-        return sorted(int(m.group(1)) for n in names if (m := re.fullmatch(rf"{re.escape(base)}__v(\d+)", n)))
+        found = self.spark.sql(f"SHOW TABLES IN {schema} LIKE '{base}__v*'").collect()
+        return sorted(int(m.group(1)) for r in found if (m := re.fullmatch(rf"{re.escape(base)}__v(\d+)", r.tableName)))
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Make `df` the content of `table`; the version before stays readable until the next replacement."""
         self.create_schema(table.split(".")[0])
         old = self._versions(table)
-        version = f"{self.name(table)}__v{old[-1] + 1 if old else 1}"
+        version = old[-1] + 1 if old else 1
         writer = df.write.format("parquet")
         if self.key(table):
             writer = writer.bucketBy(self.buckets, *self.key(table))
-        writer.saveAsTable(version)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} AS SELECT * FROM {version}")
+        writer.saveAsTable(f"{self.name(table)}__v{version}")
+        self._show(table, version)
         for number in old[:-1]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}__v{number}")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.text import brl, literal_map
 from ..operators.upsert import add_cdc_columns
 from ..schemas import SHOPS
+from ..session import spread
 
 RUN_TIME = datetime(2024, 1, 31, 6, 0, 0)
 SEQUENCE = ("seq_order", "seq_line", "seq_supp")
@@ -68,7 +69,8 @@ def drop_items(spark: SparkSession, sf: str, shop: str | None = None) -> DataFra
     """Snapshots with whole cents and a time of their own, as shops would export them."""
     micros = (F.unix_micros(F.col("scraped_at").cast("timestamp")) + F.col("seq_order") * 1000000
               + F.col("seq_line") * 1000 + F.col("seq_supp"))
-    lines = table(spark, sf, "lineitem").select(
+    lines = spread(table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_shipdate")).select(
         F.col("l_orderkey").alias("seq_order"), F.col("l_linenumber").alias("seq_line"),
         F.col("l_suppkey").alias("seq_supp"), F.col("l_partkey").cast("string").alias("product_id"),
         "l_suppkey", "l_extendedprice", F.col("l_shipdate").alias("scraped_at"))
@@ -127,7 +129,7 @@ def lineage_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     money = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return table(spark, sf, "lineitem").join(
+    return spread(table(spark, sf, "lineitem")).join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("seq_order"), F.col("l_linenumber").alias("seq_line"),
         F.col("l_suppkey").alias("seq_supp"), F.col("l_partkey").cast("string").alias("id"),
@@ -191,11 +193,9 @@ def _amount(cents: Column) -> Column:
 
 
 def _page(lines: DataFrame, url: Column, *parts: str | Column) -> DataFrame:
-    """A page per line, spread over the cores: parsing pages is the costly part, and a small table is one partition."""
-    spread = lines.repartition(lines.sparkSession.sparkContext.defaultParallelism, *SEQUENCE)
     html = F.concat(F.lit("<!DOCTYPE html><html><body>"), *[F.lit(p) if isinstance(p, str) else p for p in parts],
                     F.lit("</body></html>"))
-    return spread.select(*SEQUENCE, F.col("seq_order").alias("page_id"), url.alias("url"), html.alias("html"))
+    return lines.select(*SEQUENCE, F.col("seq_order").alias("page_id"), url.alias("url"), html.alias("html"))
 
 
 # Rating words by number.

@@ -12,7 +12,7 @@ from vitrine.functions import derive as dv, text as tx
 from vitrine.operators import dedup, health, items, lineage, quality, quantiles, upsert
 from vitrine.plans import daily, marts, publish, raw_load, reports, sales, staging, transform
 from vitrine.schemas import SHOPS, TABLES, drop_schema
-from vitrine.session import scratch_path
+from vitrine.session import scratch_path, stored
 from vitrine.sources import files, html, payloads, testdata as td
 from vitrine.sources.catalog import Warehouse, row_counts
 from vitrine.streaming import drops
@@ -40,6 +40,11 @@ def _all(spark, sf, keep=()):
     return rows.select("product_id", "name", "price", label.alias("source"), "scraped_at", fixed.alias("category"), *keep)
 
 
+def _prices(spark, sf):
+    """Source and price of all listings, written once for jobs that read them several times."""
+    return stored(_all(spark, sf).select("source", "price"), "prices")
+
+
 def _prepared(rows):
     """Listings that already have the common columns, as prepare_source gives them."""
     null = F.lit(None).cast("string")
@@ -255,19 +260,19 @@ def timeline(spark, sf):
 
 @query
 def price_stats_by_source(spark, sf):
-    return reports.price_stats(_all(spark, sf))
+    return reports.price_stats(_prices(spark, sf))
 
 
 @query
 def price_box_stats(spark, sf):
-    box = reports.price_box(_all(spark, sf))
+    box = reports.price_box(_prices(spark, sf))
     return box.select("source", "n", *[F.round(c, 6).alias(c) for c in
                                        ("q1", "median", "q3", "lower_whisker", "upper_whisker")])
 
 
 @query
 def price_histogram(spark, sf):
-    bins = reports.price_histogram(_all(spark, sf))
+    bins = reports.price_histogram(_prices(spark, sf))
     return bins.select("bin", "n", F.round("bin_start", 6).alias("bin_start"), F.round("bin_end", 6).alias("bin_end"))
 
 

@@ -53,7 +53,7 @@ def _prepared(rows):
 
 
 def _house(spark) -> Warehouse:
-    return Warehouse(spark, f"w{uuid.uuid4().hex[:8]}_", scratch_path(spark, "tables"))
+    return Warehouse(spark, f"w{uuid.uuid4().hex[:8]}_", scratch_path(spark, "tables"), buckets=8)
 
 
 def _newest(spark, sf):

@@ -9,9 +9,9 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.functions import derive as dv, text as tx
-from vitrine.operators import dedup, health, items, lineage, quality, quantiles, upsert
-from vitrine.plans import daily, marts, publish, raw_load, reports, sales, staging, transform
-from vitrine.schemas import SHOPS, TABLES, drop_schema
+from vitrine.operators import dedup, health, items, lineage, quality, upsert
+from vitrine.plans import daily, marts, raw_load, reports, sales, staging
+from vitrine.schemas import SHOPS, drop_schema
 from vitrine.session import scratch_path, stored
 from vitrine.sources import files, html, payloads, testdata as td
 from vitrine.sources.catalog import Warehouse, row_counts

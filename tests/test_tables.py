@@ -8,7 +8,7 @@ from vitrine.operators import health, lineage, quality, upsert
 from vitrine.operators.upsert import add_cdc_columns, change_rows, insert_only
 from vitrine.plans import daily, publish, raw_load, reports, transform
 from vitrine.sources import files
-from vitrine.schemas import SHOPS, drop_schema
+from vitrine.schemas import SHOPS
 from vitrine.streaming import drops
 
 from conftest import rows
@@ -179,9 +179,26 @@ def test_gates_stop_the_run(spark, house, tmp_path):
     write_drop(tmp_path / "d", "kabum", "nameless.json", [{"product_id": "n", "price": 1, "source": "s"}])
     with pytest.raises(daily.GateFailed, match="stg_kabum.name: 1 nulos"):
         daily.daily_run(house, str(tmp_path / "d"), RUN)
+    spark.sql(f"drop view {house.prefix}marts.dim_books")
     with pytest.raises(daily.GateFailed, match="unhealthy"):
-        daily.health_gate(house, RUN + timedelta(days=30)) if house.spark.sql(
-            f"drop view {house.prefix}marts.dim_books") is not None else None
+        daily.health_gate(house, RUN + timedelta(days=30))
+
+
+def test_sales_tables(spark, house):
+    house.create_all()
+    typed = lambda table, *found: spark.createDataFrame(found, "a bigint, b bigint, c bigint, d int, e double").selectExpr(*table)
+    house.replace("raw.customers", spark.range(1, 4).selectExpr("id as customer_id", "'n' as first_name"))
+    house.replace("raw.products", spark.range(5, 8).selectExpr("id as product_id", "'p' as name"))
+    house.replace("raw.orders", spark.range(10, 12).selectExpr(
+        "id as order_id", "id - 9 as customer_id", "date'2024-01-01' as order_date"))
+    house.replace("raw.order_items", typed(
+        ("a as order_item_id", "b as order_id", "c as product_id", "d as quantity", "cast(e as decimal(10,2)) as unit_price"),
+        (1, 10, 5, 2, 3.1), (2, 10, 6, 1, 4.05), (3, 11, 5, 3, 3.1)))
+    transform.run_sales(house)
+    customers = house.read("marts.dim_customers").select("customer_id", F.col("total_spent").cast("double"), "customer_segment")
+    assert rows(customers) == [(1, 10.25, "Recorrente"), (2, 9.3, "Novo"), (3, 0.0, "Novo")]
+    assert rows(house.read("marts.dim_product_sales"), "product_id", "times_sold") == [(5, 2), (6, 1), (7, 0)]
+    assert house.count("marts.fact_orders") == 3
 
 
 def test_health_details(spark):

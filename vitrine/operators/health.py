@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import HEALTH_CHECK, SHOPS
-from .quality import duplicate_keys
 
 # Limits of the full check, share of passed checks that still counts as degraded, alert texts.
 RAW_MAX_HOURS = 48

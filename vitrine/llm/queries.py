@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import decontaminate, mixing, simhash
+from vitrine.llm import decontaminate, line_dedup, mixing, paragraph_dedup, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,3 +35,14 @@ def op8_source_mixing(spark, sf_dir):
 @query
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_paragraph_dedup(spark, sf_dir):
+    return paragraph_dedup.removals(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    found = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", F.col("n_parts").alias("n_lines"), "n_removed", F.col("left").alias("text"))

@@ -58,3 +58,16 @@ mixed as (select *, cast(floor(rate) as bigint) + case when draw < rate - floor(
 """
 
 ORACLES["op8_source_mixing"] = _MIX + "select doc_id, size, source_size, target, size * times as taken from mixed"
+
+#: Base32 has 5 bits a letter: 5 hexadecimal digits make 4 letters.
+_BASE32 = ("array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast("
+           "(cast('0x' || substr({h}, 1 + 5 * cast(floor(i / 4) as integer), 5) as bigint) >> (15 - 5 * (i % 4))) & 31 as integer), 1)), '')")
+
+ORACLES["op1_warc_transactions"] = f"""
+with p as (select distinct page_id, url, coalesce(html, '') as body from pages),
+d as (select *, sha1(body) as h, min(page_id) over (partition by body) as first from p)
+select page_id, strlen(body) as payload_bytes, {_BASE32.format(h="h")} as payload_digest,
+  case when page_id is not distinct from first then 'response' else 'revisit' end as record_type,
+  case when page_id is distinct from first then first end as refers_to
+from d
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import decontaminate, line_dedup, mixing, paragraph_dedup, simhash
+from vitrine.llm import decontaminate, html_text, line_dedup, mixing, paragraph_dedup, quality, secret_scan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,3 +46,25 @@ def op3_paragraph_dedup(spark, sf_dir):
 def op4_line_dedup(spark, sf_dir):
     found = line_dedup.dedup(table(spark, sf_dir, "documents"))
     return found.select("row.doc_id", F.col("n_parts").alias("n_lines"), "n_removed", F.col("left").alias("text"))
+
+
+@query
+def op1_warc_transactions(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", quality.grade().alias("grade"))
+    return quality.rate(docs, quality.train(docs, labels)).select("row.doc_id", "expected_grade", "tail_probability", "accepted")
+
+
+@query
+def op7_html_main_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))

@@ -60,7 +60,8 @@ def meetings(members: DataFrame, key: str, member: str, payload: DataFrame | Non
     with more than `block` members is dealt into parts by a hash of the member, and every two parts of it meet in one
     row, on whichever executor that row hashes to: no row holds more than about two blocks, no pair of members is
     missed, and no pairs of members are materialised. Members without company are dropped.
-    Returns one row per meeting: `group`, an array of structs (member, payload columns).
+    Returns one row per meeting: `key`, `across` (the members are of two parts; those of one part meet elsewhere, too)
+    and `group`, an array of structs (member, `of_part`, payload columns).
     """
     sizes = members.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1")
     together = members.join(sizes, key)
@@ -70,8 +71,8 @@ def meetings(members: DataFrame, key: str, member: str, payload: DataFrame | Non
              .withColumn("_part", F.pmod(F.xxhash64(F.lit("part"), member), "_parts").cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))))
     return (dealt.groupBy(key, F.least("_part", "_other").alias("_lo"), F.greatest("_part", "_other").alias("_hi"))
-            .agg(F.collect_list(F.struct(*carried)).alias("group"))
-            .filter(F.size("group") > 1).select("group"))
+            .agg(F.collect_list(F.struct(*carried, F.col("_part").alias("of_part"))).alias("group"))
+            .filter(F.size("group") > 1).select(key, (F.col("_lo") != F.col("_hi")).alias("across"), "group"))
 
 
 def stars(linked: np.ndarray) -> np.ndarray:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import decontaminate, html_text, line_dedup, mixing, paragraph_dedup, quality, secret_scan, simhash, warc
+from vitrine.llm import decontaminate, embedding_dedup, html_text, line_dedup, mixing, paragraph_dedup, quality, secret_scan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,3 +68,8 @@ def op7_html_main_text(spark, sf_dir):
 @query
 def op10_secret_scan(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.groups(table(spark, sf_dir, "embeddings"))

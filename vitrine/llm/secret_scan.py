@@ -14,12 +14,12 @@ ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vitrine.session import measured, stored
+from vitrine.session import measured, scratch_path, stored
 
 #: Runs of key characters; a candidate also holds a digit, or both cases.
 RUN = r"[A-Za-z0-9+/_=.\-]{16,}"
@@ -77,7 +77,7 @@ def _count(pattern: str) -> Column:
 def featured(found: DataFrame, covered: DataFrame) -> DataFrame:
     length = F.length("candidate").cast("double")
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
-    last = F.concat("before", F.lit(""))
+    last = F.col("before")
     return found.join(covered, "candidate").withColumns({
         "length": length, "digits": _count("[0-9]") / length, "upper": _count("[A-Z]") / length,
         "lower": _count("[a-z]") / length, "other": _count("[^A-Za-z0-9]") / length,
@@ -121,7 +121,11 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, doc_id: str = "doc_
     columns = ("doc_id", "position", "candidate", "occurrences")
     if len(labels) == 1:
         return scored.select(*columns, F.lit(float(labels[0])).alias("probability"), F.lit(labels[0] == 1).alias("is_secret"))
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=42, cacheNodeIds=False).fit(assemble.transform(picked))
+    fitted = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=42).fit(assemble.transform(picked))
+    # Stored and loaded, the model comes without its training summary, which holds the session and cannot go to tasks.
+    place = scratch_path(docs.sparkSession, "forest")
+    fitted.save(place)
+    forest = RandomForestClassificationModel.load(place)
     out = forest.transform(assemble.transform(scored)).withColumn("probability", F.get(vector_to_array("probability"), F.lit(1)))
     return out.select(*columns, "probability", (F.col("probability") >= 0.5).alias("is_secret"))
 

@@ -76,7 +76,7 @@ stg_orders as (
   select o_orderkey as order_id, o_custkey as customer_id, o_orderdate as order_date, o_orderstatus as status,
     o_totalprice as total_amount, cast(null as varchar) as shipping_address, cast(null as varchar) as created_at,
     cast(null as varchar) as updated_at
-  from orders where o_orderstatus = 'F'),
+  from orders),
 items as (
   select l_orderkey as order_id, l_partkey as product_id, l_quantity as quantity,
     l_extendedprice / l_quantity as unit_price from lineitem),
@@ -238,6 +238,9 @@ _add("top10_categories", _with(ALL) + """select category, count(*) as count from
 where category is not null group by category order by count desc, category limit 10""")
 _add("top10_categories_price", _with(ALL) + """select category, round(avg(price), 6) as avg_price from all_listings
 where category is not null group by category order by avg(price) desc, category limit 10""")
+_add("price_sample", _with(ALL) + """select price, source from (select *, md5('42|' || product_id || '|' || source || '|' ||
+  epoch_us(scraped_at) || '|' || seq_order || '|' || seq_line || '|' || seq_supp) as mixed from all_listings)
+order by mixed limit 500""")
 _add("category_source_matrix", _with(ALL) + "select category, " + ", ".join(
     f"round(coalesce(avg(price) filter (source = '{n}'), 0), 6) as \"{n}\""
     for n in ("Books", "Amazon", "Americanas", "KaBuM")) + " from all_listings group by category")
@@ -335,7 +338,7 @@ _add("scalar_prices", f"""select {_LINE}, c / 100.0 as brazilian, c / 100.0 as a
 from (select *, cast(round(l_extendedprice * 100) as double) as c from lineitem)""")
 _add("scalar_ratings", f"""select {_LINE}, l_linenumber + 0.5::double as rating, cast(null as double) as no_rating,
   cast(l_linenumber as bigint) * 1001 as reviews, cast(null as bigint) as no_reviews,
-  case when l_linenumber < 7 then cast(l_linenumber as int) end as word,
+  case when l_linenumber < 6 then cast(l_linenumber as int) end as word,
   case l_linenumber when 1 then 'One' when 2 then 'Two' when 3 then 'Three' when 4 then 'Four' when 5 then 'Five'
     when 6 then '6.7' else 'none' end as css_word from lineitem""")
 _add("scalar_texts", f"""select p_partkey, p_name as collapsed, '' as nothing, {_TITLE} || ' 15Pro D''Agua' as title,
@@ -418,8 +421,8 @@ _add("configured_listings", f"""select page_id, pos - 1 as pos, names[pos] as na
   cast(null as double) as price
 from (select page_id, regexp_extract_all(html, {_HREF}, 2) as names, regexp_extract_all(html, {_HREF}, 1) as links,
         unnest(generate_series(1, len(regexp_extract_all(html, {_HREF})))) as pos from pages)""")
-_add("page_titles", r"""select page_id, len(replace(trim(regexp_replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '\s+', ' ',
-  'g')), '&amp;', '&')) as name_length, cast(null as varchar) as product_id, cast(null as double) as price, url as source
+_add("page_titles", r"""select page_id, replace(trim(regexp_replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '\s+', ' ',
+  'g')), '&amp;', '&') as name, cast(null as varchar) as product_id, cast(null as double) as price, url as source
 from pages""")
 _add("html_links", f"""select page_id, pos - 1 as pos, links[pos] as href,
   regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || links[pos] as link
@@ -427,7 +430,7 @@ from (select page_id, url, regexp_extract_all(html, {_HREF}, 1) as links,
         unnest(generate_series(1, len(regexp_extract_all(html, {_HREF})))) as pos from pages)""")
 _add("product_page_links", """select l_orderkey as page_id, i as pos, '../product/' || l_partkey || '/' || i as href,
   'https://shop.example.org/a/product/' || l_partkey || '/' || i as link
-from lineitem, (select unnest(generate_series(0, 9)) as i)""")
+from lineitem, (select unnest(generate_series(0, 11)) as i)""")
 _add("next_page_links", """select l_orderkey as page_id, 'page-' || (l_linenumber + 1) || '.html' as href,
   'https://books.example.org/page-' || (l_linenumber + 1) || '.html' as link from lineitem""")
 _add("capped_listings", _with(LISTINGS) + """select source, category, product_id, seq_order, seq_line, seq_supp from (
@@ -582,8 +585,8 @@ _add("failed_checks", _FOUND + "select stage, test from results where status = '
 _add("check_pass_count", _FOUND + """select count(*) filter (status = 'PASS') as passed, count(*) as total,
   bool_and(status = 'PASS') as all_passed from results""")
 _add("duplicate_keys", _with(LISTINGS) + f"select count(*) as n, cast(coalesce(sum(c), 0) as bigint) as n_rows from {_DUP}")
-_add("orphan_keys", _with(ORDERS) + """select i.order_id, count(*) as n from items i anti join stg_orders o
-on i.order_id = o.order_id group by i.order_id""")
+_add("orphan_keys", _with(ORDERS) + """select i.order_id, count(*) as n from items i anti join (
+  select order_id from stg_orders where status = 'F') o on i.order_id = o.order_id group by i.order_id""")
 _add("freshness", _with(LISTINGS) + """select max(scraped_at) as last_scraped,
   cast(epoch_us(timestamp '2002-01-01') - epoch_us(max(scraped_at)) as double) / 3600000000 as hours from listings""")
 _add("latest_scrapes", _with(LISTINGS) + "select source, max(scraped_at) as last_scraped from listings group by source")
@@ -614,8 +617,7 @@ from (select count(*) filter (passed) as p, count(*) as t from results)""")
 # Streams.
 
 _add("stream_daily_volume", """select date_trunc('day', ts) as scraped_date, event_type as source, count(*) as count
-from events, (select max(ts) as latest from events)
-where date_trunc('day', ts) + interval 1 day <= latest - interval 1 day group by all""")
+from events group by all""")
 _add("stream_first_seen", """select distinct cast(user_id as varchar) as product_id, event_type as source from events""")
 _add("stream_raw_load", _with(_NEWEST_DROP) + """select product_id, name, price, cast(rating as bigint) as rating, source,
   scraped_at from newest where source = 'books'""")

@@ -27,7 +27,7 @@ def apply(spark, fn, values, kind="string"):
                      "": "", None: None}),
     (tx.category_name, {"eletronicos": "Eletronicos", " ELETRÔNICOS ": "Eletronicos", "home": "Casa e Decoração",
                         "mesa posta": "Mesa Posta", "": "", None: None}),
-    (tx.rating_number, {"Three": 3, " five ": 5, "4": 4, "4.5": 4, "many": None, "": None, None: None}),
+    (tx.rating_number, {"Three": 3, " five ": 5, "4": 4, " +5 ": 5, "4.5": None, "6.7": None, "many": None, "": None, None: None}),
     (tx.source_address, {"https://example.com/products?page=1": "https://example.com/products",
                          "https://example.com/a//": "https://example.com/a", None: None}),
     (tx.id_from_href, {"catalogue/a-light_1000/index.html": "1000"}),

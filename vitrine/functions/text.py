@@ -103,10 +103,11 @@ def category_name(text: Column) -> Column:
 
 
 def rating_number(value: Column) -> Column:
-    """Rating word or number to an integer; fractions are cut off, other text gives NULL."""
+    """Rating word or number to an integer. Numbers lose their fraction; text must be a whole number, else it is NULL."""
     text = strip(value.cast("string"))
     word = F.try_element_at(literal_map(RATING_WORDS), F.lower(text))
-    return F.coalesce(word, number(text).try_cast("int"))
+    whole = text.rlike(r"^[+-]?\d+$") | (F.typeof(value) != "string")
+    return F.coalesce(word, F.when(whole, number(text).try_cast("int")))
 
 
 def rating_class(css_class: Column) -> Column:

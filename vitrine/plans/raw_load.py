@@ -87,7 +87,7 @@ def load_files(house: Warehouse, shop: str, paths: list[str], run_time: datetime
         raise ValueError(f"raw.{shop} got {facts.n} rows, at least {min_rows} are needed")
     count = load_rows(house, shop, drops, run_time)
     house.append("lineage.data_lineage", lineage_row(
-        house.spark, ", ".join(paths)[:100], "file", f"raw.{shop}", "load", count, run_time,
+        house.spark, ", ".join(paths), "file", f"raw.{shop}", "load", count, run_time,
         time.monotonic() - started))
     return count
 
@@ -126,7 +126,7 @@ def load_directory(house: Warehouse, data_dir: str, run_time: datetime) -> DataF
         load_rows(house, shop, drops, run_time)
         per_file = stored(file_results(house, data_dir, shop, drops, house.key(f"raw.{shop}")), f"files-{shop}")
         runs = per_file.filter((F.col("count") > 0) | (F.col("status") == "error")).select(
-            F.substring("file", -100, 100).alias("source_name"), F.lit("file").alias("source_type"),
+            F.col("file").alias("source_name"), F.lit("file").alias("source_type"),
             F.lit("raw").alias("target_schema"), F.lit(shop).alias("target_table"), F.lit("load").alias("operation"),
             F.col("count").alias("record_count"), now.alias("execution_time"), "status",
             F.col("error").alias("error_message"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.derive import mean2
 from ..functions.text import brl
@@ -128,7 +128,7 @@ def kpi_texts(listings: DataFrame) -> DataFrame:
 def volume_by_source(listings: DataFrame) -> DataFrame:
     """Listings per source and their share of the total."""
     per_source = listings.groupBy("source").agg(F.count("*").alias("products"))
-    total = listings.agg(F.count("*")).scalar()
+    total = F.sum("products").over(W.partitionBy())  # over one row per source
     return per_source.withColumn("share", F.round(F.col("products") / total, 6))
 
 
@@ -176,8 +176,12 @@ def dearest_categories(listings: DataFrame, n: int = 10) -> DataFrame:
 
 
 def price_sample(listings: DataFrame, n: int = 500, seed: int | None = None) -> DataFrame:
-    """Up to `n` listings at random."""
-    return listings.orderBy(F.rand(seed)).limit(n).select("price", "source")
+    """Up to `n` listings in the order of a seeded hash of their values: the same sample of the same listings."""
+    values = [F.coalesce(F.col("product_id").cast("string"), F.lit("")), F.coalesce("source", F.lit("")),
+              F.coalesce(F.unix_micros(F.col("scraped_at").cast("timestamp")).cast("string"), F.lit(""))]
+    ties = [c for c in listings.columns if c.startswith("seq_")]
+    mixed = F.md5(F.concat_ws("|", F.lit(str(seed)), *values, *(F.col(c).cast("string") for c in ties)))
+    return listings.orderBy(mixed).limit(n).select("price", "source")
 
 
 def category_matrix(listings: DataFrame, names: tuple[str, ...] = DISPLAY_NAMES) -> DataFrame:

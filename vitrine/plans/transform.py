@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,8 +27,12 @@ def _since(df: DataFrame, since: datetime | None) -> DataFrame:
 
 def transform_staging(house: Warehouse, shop: str, run_time: datetime, since: datetime | None = None,
                       warnings: list[str] | None = None) -> int:
-    """One shop's raw rows into its staging table; `since` reads only rows extracted after that time."""
-    rows = staging.staging(_since(house.read(f"raw.{shop}"), since), shop)
+    """One shop's raw rows into its staging table. With `since` only the products that have rows extracted after that
+    time are staged, each from all its raw rows: the newest of them may be an older extract."""
+    raw = house.read(f"raw.{shop}")
+    if since is not None:
+        raw = raw.join(_since(raw, since).select("product_id").distinct(), "product_id", "left_semi")
+    rows = staging.staging(raw, shop)
     return upsert_table(house, f"staging.stg_{shop}", rows, run_time, track_changes=False,
                         required=REQUIRED["staging"], warnings=warnings)
 
@@ -40,10 +45,12 @@ def transform_dim_books(house: Warehouse, run_time: datetime, warnings: list[str
 
 def transform_dim_products(house: Warehouse, run_time: datetime, since: datetime | None = None,
                            warnings: list[str] | None = None) -> int:
-    shops = {s: _since(house.read(f"staging.stg_{s}"), since) for s in marts.ORIGINAL_PRICE
-             if house.exists(f"staging.stg_{s}")}
+    shops = {s: house.read(f"staging.stg_{s}") for s in marts.ORIGINAL_PRICE if house.exists(f"staging.stg_{s}")}
     if not shops:
         return 0
+    if since is not None:  # a product stands in one row of dim_products, whichever shops have it
+        changed = reduce(DataFrame.union, [_since(df, since).select("product_id") for df in shops.values()]).distinct()
+        shops = {s: df.join(changed, "product_id", "left_semi") for s, df in shops.items()}
     return upsert_table(house, "marts.dim_products", marts.dim_products(shops), run_time, track_changes=False,
                         required=REQUIRED["dim_products"], warnings=warnings)
 

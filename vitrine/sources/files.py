@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
 from ..functions.derive import as_number
-from ..functions.text import timestamp
+from ..functions.text import rating_number, timestamp
 from ..schemas import TABLES, drop_schema
 
 log = logging.getLogger(__name__)
@@ -53,6 +53,9 @@ def coerce_to_raw(df: DataFrame, shop: str) -> DataFrame:
         kind = field.dataType.simpleString()
         if field.name not in df.columns:
             value = F.lit(None)
+        elif field.name == "rating":
+            words = F.col("rating").cast("string")
+            value = F.coalesce(as_number(df, field.name), rating_number(words).cast("double"))
         elif kind == "timestamp":
             value = timestamp(F.col(field.name))
         elif kind == "string":

@@ -103,8 +103,7 @@ def raw_products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """The finished orders: some customers have none."""
-    return table(spark, sf, "orders").filter("o_orderstatus = 'F'").selectExpr(
+    return table(spark, sf, "orders").selectExpr(
         "o_orderkey as order_id", "o_custkey as customer_id", "o_orderdate as order_date",
         "o_orderstatus as status", "o_totalprice as total_amount")
 

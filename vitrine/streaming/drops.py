@@ -54,12 +54,29 @@ def first_seen(items: DataFrame, delay: str) -> DataFrame:
 
 
 def daily_volume(items: DataFrame, delay: str) -> DataFrame:
-    """Items per day and source of a stream; days end when the watermark has passed them."""
+    """Items per day and source of a stream. The watermark bounds the state: items later than `delay` are not counted.
+    Days it has not closed yet come out in update mode (`run_updates`) only."""
     return (_timed(items).withWatermark("scraped_at", delay)
             .groupBy(F.window("scraped_at", "1 day").alias("day"), "source").agg(F.count("*").alias("count"))
             .select(F.col("day.start").alias("scraped_date"), "source", "count"))
 
 
+def run_updates(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Process what is available in update mode; each micro-batch's changed rows go to a folder of their own, which a
+    repeated batch overwrites."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("update")
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def latest_updates(spark: SparkSession, path: str, keys: list[str], schema: str) -> DataFrame:
+    """The newest row per key of what `run_updates` wrote."""
+    rows = spark.read.schema(f"{schema}, batch bigint").option("basePath", path).parquet(path)
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(*(F.max_by(c, "batch").alias(c) for c in values))
+
+
 def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Process what is available and append the results as Parquet files."""
     (stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)

@@ -9,8 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.llm.common import text_key, whole
+from vitrine.session import measured
 
 PLACE = ("doc_id", "text_key", "no")
+#: Places up to this many (some 60 bytes each) are broadcast to the documents; more are joined by a shuffle of both.
+BROADCAST_PLACES = 1_000_000
+#: The same for lists of part numbers per document, in cells of 4 bytes.
+BROADCAST_CELLS = 10_000_000
 
 
 def distinct_parts(parts: DataFrame, *carried: str) -> DataFrame:
@@ -24,6 +29,7 @@ def raw_parts(docs: DataFrame, places: DataFrame, doc_id: str, text: str) -> Dat
     each = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"),
                        F.posexplode(F.split(F.col(text), "\n", -1)).alias("no", "part"))
     wanted = places.select("part_id", *(F.col(f"first.{c}").alias(f"f_{c}") for c in PLACE))
+    wanted = F.broadcast(wanted) if places.count() <= BROADCAST_PLACES else wanted
     same = F.col("doc_id").eqNullSafe(F.col("f_doc_id")) & (F.col("text_key") == F.col("f_text_key")) & (F.col("no") == F.col("f_no"))
     # Repeated rows give a place twice.
     return each.join(wanted, same).groupBy("part_id").agg(F.first("part").alias("part"))
@@ -48,6 +54,8 @@ def without(docs: DataFrame, doomed: DataFrame, doc_id: str, text: str) -> DataF
     """`row` (all columns of a document), `n_parts`, `n_removed` and `left`, the text without the parts at `doomed`
     (the place columns); a document without such parts has its text as it was. A null text has no parts."""
     gone = doomed.groupBy(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key")).agg(F.collect_set("no").alias("gone"))
+    gone, seen = measured(gone, "gone", F.sum(F.size("gone") + 10).alias("cells"))
+    gone = F.broadcast(gone) if (seen["cells"] or 0) <= BROADCAST_CELLS else gone
     rows = docs.select(whole(docs), F.col(doc_id).alias("own_id"), text_key(text).alias("own_key"))
     same = F.col("own_id").eqNullSafe(F.col("g_id")) & (F.col("own_key") == F.col("g_key"))
     old = F.col(f"row.`{text}`")

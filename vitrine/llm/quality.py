@@ -2,18 +2,18 @@
 
 P(grade <= k) = sigmoid(threshold_k - score) with ordered thresholds and one score for all of them, a sum of shared
 weights of hashed text features. The expected grade is the sum of the tail probabilities P(grade > k); documents are
-selected by the tail probability of the best grade.
+selected where the tail probability of the best grade is at least 0.8.
 
 Grades of the test labels: 0 poor, 1 good but toxic, 2 good. The model is fitted on at most `per_grade` labelled
 documents of each grade, in hash order, weighted back to the grades' true shares; features of these are computed by
 Spark, and only their hashed counts reach the driver. All documents are scored.
 
-Features of a whole text: lower-case word cores, trailing and leading marks, letter shapes, and a few shares (repeated
+Features of a whole text: lower-case word cores and their beginnings (compounds and inflections), trailing and leading marks, letter shapes, and a few shares (repeated
 words, words with marks) in steps of a tenth; counts enter as 1 + log, scaled to unit length.
 
 Defined results: null and wordless texts have no features and a score of 0, they are not accepted; rows with null ids
 are scored, only not used for fitting; labels with null grades are left out, of repeated labels the lowest grade counts.
-Without labels every document has tail probability 0.5. Other columns pass through `select`. An empty table gives an
+Without labels every document has tail probability 0.5 and none is accepted. Other columns pass through `select`. An empty table gives an
 empty result.
 """
 
@@ -21,19 +21,21 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from vitrine.llm.common import SEED, whole
+from vitrine.llm.common import whole
 
 BUCKETS = 1 << 18
 GRADES = 3
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 500_000
 SPLIT = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
 
 
@@ -43,7 +45,7 @@ def grade(quality: str = "quality", toxic: str = "toxic") -> Column:
 
 
 def _bucket(feature: str) -> int:
-    return xxhash.xxh64_intdigest(feature.encode("utf-8", "surrogatepass"), SEED) % BUCKETS
+    return crc32(feature.encode()) % BUCKETS
 
 
 class Features:
@@ -53,16 +55,15 @@ class Features:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def of_word(self, word: str) -> tuple[int, ...]:
-        found = self.known.get(word)
-        if found is None:
-            before, core, after = SPLIT.match(word).groups()
-            shape = "A" if len(core) > 1 and core.isupper() else "Aa" if core[:1].isupper() else "9" if core.isdigit() else "a"
-            names = ["w " + core.lower(), "s " + shape]
+        if (found := self.known.get(word)) is None:
+            before, core, after = ("", word, "") if word.isalnum() else SPLIT.match(word).groups()
+            shape = 1 if len(core) > 1 and core.isupper() else 2 if core[:1].isupper() else 3 if core.isdigit() else 4
+            low = core.lower().encode("utf-8", "surrogatepass")
+            found = (crc32(low) % BUCKETS, crc32(low[:4], 5) % BUCKETS, crc32(low[:5], 6) % BUCKETS, shape)
             if before:
-                names.append("< " + before[:8])
+                found += (crc32(before[:8].encode("utf-8", "surrogatepass"), 7) % BUCKETS,)
             if after:
-                names.append("> " + after[:8])
-            found = tuple(_bucket(n) for n in names)
+                found += (crc32(after[:8].encode("utf-8", "surrogatepass"), 8) % BUCKETS,)
             if len(self.known) >= KNOWN_WORDS:
                 self.known.clear()
             self.known[word] = found
@@ -73,14 +74,17 @@ class Features:
         words = (text or "").split()
         if not words:
             return np.empty(0, np.int32), np.empty(0, np.float32)
-        of_word = self.of_word
-        numbers = np.fromiter((f for w in words for f in of_word(w)), np.int32)
+        times = Counter(words)
+        known, of_word = self.known.get, self.of_word
+        of_words = [known(w) or of_word(w) for w in times]
+        numbers = np.fromiter(chain.from_iterable(of_words), np.int64)
+        repeats = np.repeat(np.fromiter(times.values(), np.float64), [len(f) for f in of_words])
         marked = sum(not w[-1].isalnum() for w in words) / len(words)
-        repeated = 1 - len(set(words)) / len(words)
+        repeated = 1 - len(times) / len(words)
         shares = [_bucket(f"marked {int(10 * marked)}"), _bucket(f"repeated {int(10 * repeated)}"),
                   _bucket(f"length {int(math.log2(len(words)))}")]
-        found, counts = np.unique(numbers, return_counts=True)
-        values = 1 + np.log(counts)
+        found, at = np.unique(numbers, return_inverse=True)
+        values = 1 + np.log(np.bincount(at, repeats))
         found, values = np.append(found, shares).astype(np.int32), np.append(values, [8.0] * 3)
         return found, (values / np.linalg.norm(values)).astype(np.float32)
 
@@ -99,9 +103,12 @@ class Model:
 
 
 def fit_model(row: np.ndarray, number: np.ndarray, value: np.ndarray, grades: np.ndarray, share: np.ndarray,
-              steps: int = 250, rate: float = 0.3, ridge: float = 1e-5) -> Model:
-    """Maximum likelihood by Adam over all given rows; `share` weighs the grades."""
+              steps: int = 300, rate: float = 1.0, ridge: float = 1e-6, least_rows: int = 10) -> Model:
+    """Maximum likelihood by Adam over all given rows; `share` weighs the grades. Features of fewer than `least_rows`
+    rows keep weight 0: they could only tell the rows of the sample apart."""
     n = len(grades)
+    often = np.bincount(number, minlength=BUCKETS)[number] >= min(least_rows, n / 20)
+    row, number, value = row[often], number[often], value[often]
     weight = share[grades] * n / share[grades].sum()
     weights, cuts = np.zeros(BUCKETS), np.array([-2.0, math.log(1.0)])  # first threshold, log of the step to the second
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (weights, cuts)]
@@ -153,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                      np.asarray(found.column("values").combine_chunks().flatten()), grades, share / np.maximum(counted, 1))
 
 
-def rate(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
+def rate(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
     """`row` (all columns of a document), `expected_grade`, `tail_probability` (of the best grade) and `accepted`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one megabyte, whatever the corpus
 
@@ -174,6 +181,6 @@ def rate(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
     return rows.mapInArrow(run, schema)
 
 
-def select(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
+def select(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
     """The accepted documents, columns as they were."""
     return rate(docs, train(docs, labels, doc_id, text), doc_id, text, least).filter("accepted").select("row.*")

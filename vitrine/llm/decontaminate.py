@@ -110,7 +110,7 @@ def _without(text: str, spans: str) -> Column:
     gaps = F.split(F.col(text), WORD, -1)
     pieces = F.arrays_zip(words(text).alias("word"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("gap"))
     hit = lambda i: F.exists(spans, lambda s: (s["start"] <= i) & (i < s["stop"]))
-    kept = F.transform(pieces, lambda p, i: F.when(~hit(i), F.concat(p["0"], p["1"])).otherwise(F.lit("")))
+    kept = F.transform(pieces, lambda p, i: F.when(~hit(i), F.concat(p["word"], p["gap"])).otherwise(F.lit("")))
     return F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, ""))
 
 

@@ -166,7 +166,7 @@ def classify(blocks: list[Block]) -> None:
     for b in blocks:
         words = WORD.findall(b.text.lower())
         density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0
-        if b.links > LINKS and not b.heading or "©" in b.text and len(b.text) < LONG and not b.inside:
+        if b.links > LINKS and not b.heading or b.text.startswith(("©", "(c)", "Copyright")) and len(b.text) < LONG and not b.inside:
             b.label = "bad"
         elif b.inside and (len(b.text) >= SHORT or density >= LOW):
             b.label = "good"

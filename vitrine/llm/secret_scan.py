@@ -23,7 +23,6 @@ from vitrine.session import measured, scratch_path, stored
 
 #: Runs of key characters; a candidate also holds a digit, or both cases.
 RUN = r"[A-Za-z0-9+/_=.\-]{16,}"
-KEYLIKE = r"[0-9]|[a-z].*[A-Z]|[A-Z].*[a-z]"
 #: Published shapes of issued keys.
 ISSUED = (r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^AIza[A-Za-z0-9_-]{35}$"
           r"|^sk_(live|test)_[A-Za-z0-9]{16,}$|^eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+$")
@@ -40,7 +39,7 @@ FEATURES = ("length", "digits", "upper", "lower", "other", "transitions", "hex_o
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, position, candidate, occurrences, before, after): one row per document row and distinct candidate."""
     runs = F.filter(F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(RUN), F.lit(0))),
-                    lambda r: r.rlike(KEYLIKE))
+                    lambda r: r.rlike("[0-9]") | (r.rlike("[a-z]") & r.rlike("[A-Z]")))
     each = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), runs.alias("runs")).filter(F.size("runs") > 0)
     each = each.select("doc_id", "text", F.explode("runs").alias("run"))
     at = each.withColumn("position", F.instr("text", F.col("run")))

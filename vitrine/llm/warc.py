@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import json
 import re
 import uuid
@@ -170,7 +171,7 @@ def read(archives: DataFrame, path: str = "path", tasks: int | None = None) -> D
             for name in batch.column(0).to_pylist():
                 system, own = fs.FileSystem.from_uri(name) if "://" in name else (fs.LocalFileSystem(), name)
                 with system.open_input_stream(own, compression=None, buffer_size=1 << 20) as raw:
-                    stream, rows, size = gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else raw, [], 0
+                    stream, rows, size = gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else io.BufferedReader(raw), [], 0
                     for record in records_of(stream, name):
                         rows.append(record)
                         size += len(record[8] or b"")

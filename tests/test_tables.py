@@ -81,6 +81,7 @@ def test_load_directory(spark, house, tmp_path):
     write_drop(data, "books", "b2.json", [item("1", 8, "2023-12-31T00:00:00")])
     write_drop(data, "books", "bad.json", "not json")
     write_drop(data, "books", "empty.json", [])
+    write_drop(data, "books", "half.json", "\n".join([json.dumps(item("8", 3, "2023-01-01T00:00:00")), "{bad", json.dumps(item("9", 4, "2023-01-01T00:00:00"))]))
     write_drop(data, "kabum", "k.parquet", "no parquet")
     spark.createDataFrame([("5", "Amazon item", 3.5)], "product_id string, name string, price double").coalesce(1).write.parquet(
         str(data / "amazon" / "a.parquet"))
@@ -89,19 +90,32 @@ def test_load_directory(spark, house, tmp_path):
     found = {(r.shop, r.file.split("/")[-1].split("-")[0]): (r.status, r["count"]) for r in results.collect()}
     assert found == {("books", "b1.json"): ("success", 2), ("books", "b2.json"): ("success", 1),
                      ("books", "bad.json"): ("error", 0), ("books", "empty.json"): ("success", 0),
+                     ("books", "half.json"): ("partial", 2), ("kabum", "k.parquet"): ("error", 0),
                      ("amazon", "part"): ("success", 1), ("amazon", "broken.parquet"): ("error", 0)}
     books = house.read("raw.books")
     assert rows(books.select("product_id", F.col("price").cast("double"), "rating", "_extract_ts")) == [
-        ("1", 10.5, None, RUN), ("2", 7.25, 4, RUN)]
+        ("1", 10.5, None, RUN), ("2", 7.25, 4, RUN), ("8", 3.0, None, RUN), ("9", 4.0, None, RUN)]
     assert rows(house.read("lineage.change_tracking"), "source_table", "operation") == [
-        ("raw.amazon", "insert"), ("raw.books", "insert"), ("raw.books", "insert")]
+        ("raw.amazon", "insert"), *[("raw.books", "insert")] * 4]
     assert rows(house.read("lineage.data_lineage").groupBy("target_table", "status").count()) == [
-        ("amazon", "error", 1), ("amazon", "success", 1), ("books", "error", 1), ("books", "success", 2)]
+        ("amazon", "error", 1), ("amazon", "success", 1), ("books", "error", 1), ("books", "partial", 1), ("books", "success", 2),
+        ("kabum", "error", 1)]
 
     # A second run updates, keeps what is absent and leaves one row per key.
     write_drop(data, "books", "b1.json", [item("1", 20, "2024-01-05T00:00:00")])
     raw_load.load_directory(house, str(data), RUN + timedelta(days=1))
-    assert rows(house.read("raw.books").select("product_id", F.col("price").cast("double"))) == [("1", 20.0), ("2", 7.25)]
+    assert rows(house.read("raw.books").select("product_id", F.col("price").cast("double"))) == [
+        ("1", 20.0), ("2", 7.25), ("8", 3.0), ("9", 4.0)]
+
+
+def test_parquet_drops_of_different_layouts(spark, tmp_path):
+    make = lambda name, rows_, schema: spark.createDataFrame(rows_, schema).coalesce(1).write.parquet(str(tmp_path / "amazon" / name))
+    make("a.parquet", [("1", 1.5)], "product_id string, price double")
+    make("b.parquet", [("2", "2.5", 4.5)], "product_id string, price string, rating double")
+    write_drop(tmp_path, "amazon", "c.parquet", "no parquet")
+    found = files.read_shop_drops(spark, str(tmp_path), "amazon")
+    assert rows(found.select("product_id", "price", "rating"))[:2] == [("1", "1.5", None), ("2", "2.5", "4.5")]
+    assert found.filter(f"{files.CORRUPT} is not null").count() == 1
 
 
 def test_load_files(spark, house, tmp_path):

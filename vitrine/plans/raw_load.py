@@ -97,16 +97,19 @@ def file_results(house: Warehouse, data_dir: str, shop: str, drops: DataFrame, k
     plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
     files = list_files(house.spark, f"{data_dir}/{shop}", "*.{json,jsonl,parquet}")
     found = files.select(plain("_file").alias("file"), F.col("_file").endswith(".parquet").alias("columnar"))
-    read = (drops.groupBy(plain("_file").alias("file"), *keys)
-            .agg(F.count(CORRUPT).alias("bad"))
-            .groupBy("file").agg(F.count("*").alias("records"), F.sum("bad").alias("bad")))
+    read = (drops.groupBy(plain("_file").alias("file"), F.col(CORRUPT).isNull().alias("sound"), *keys)
+            .agg(F.count(CORRUPT).alias("bad"), F.min(CORRUPT).alias("text"))
+            .groupBy("file").agg(F.count_if("sound").alias("records"), F.sum("bad").alias("bad"), F.min("text").alias("text")))
     joined = found.join(read, "file", "left")
-    error = (F.when(F.col("bad") > 0, "not readable as JSON")
-             .when(F.col("records").isNull() & F.col("columnar"), "no rows, or not readable as Parquet"))
+    records = F.coalesce("records", F.lit(0))
+    error = (F.when(F.col("columnar") & (F.col("bad") > 0), F.col("text"))
+             .when(F.col("bad") > 0, F.concat(F.col("bad"), F.lit(" records not readable as JSON")))
+             .when(F.col("records").isNull() & F.col("columnar"), "no rows"))
+    # A file with some sound records is loaded; its result names how many were refused.
     return joined.select(
-        F.lit(shop).alias("shop"), "file", F.when(error.isNull(), "success").otherwise("error").alias("status"),
-        F.when(error.isNull(), F.coalesce("records", F.lit(0))).otherwise(F.lit(0)).alias("count"),
-        error.alias("error"))
+        F.lit(shop).alias("shop"), "file",
+        F.when(error.isNull(), "success").when(records > 0, "partial").otherwise("error").alias("status"),
+        records.alias("count"), error.alias("error"))
 
 
 def load_directory(house: Warehouse, data_dir: str, run_time: datetime) -> DataFrame:
@@ -125,7 +128,7 @@ def load_directory(house: Warehouse, data_dir: str, run_time: datetime) -> DataF
         drops = stored(drops, f"drops-{shop}")
         load_rows(house, shop, drops, run_time)
         per_file = stored(file_results(house, data_dir, shop, drops, house.key(f"raw.{shop}")), f"files-{shop}")
-        runs = per_file.filter((F.col("count") > 0) | (F.col("status") == "error")).select(
+        runs = per_file.filter((F.col("count") > 0) | (F.col("status") != "success")).select(
             F.col("file").alias("source_name"), F.lit("file").alias("source_type"),
             F.lit("raw").alias("target_schema"), F.lit(shop).alias("target_table"), F.lit("load").alias("operation"),
             F.col("count").alias("record_count"), now.alias("execution_time"), "status",

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import re
+from collections.abc import Iterator
 from datetime import datetime
+from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
 from ..functions.derive import as_number
 from ..functions.text import rating_number, timestamp
 from ..schemas import TABLES, drop_schema
+from ..session import stored
 
 log = logging.getLogger(__name__)
 
@@ -31,14 +39,67 @@ def read_json_drops(spark: SparkSession, schema: StructType, *paths: str, lines:
 
 
 def read_parquet_drops(spark: SparkSession, schema: StructType, *paths: str) -> DataFrame:
-    """Parquet files as text or typed columns of `schema`, unreadable files skipped, plus `_file`."""
-    own = spark.read.option("ignoreCorruptFiles", True).option("mergeSchema", False).parquet(*paths)
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in own.columns
-               else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return own.select(*columns, F.lit(None).cast("string").alias(CORRUPT), F.col("_metadata.file_path").alias("_file"))
+    """Parquet files as text or typed columns of `schema`, plus `_file` and `_corrupt_record`.
 
+    Files may differ in their columns and in the columns' types: they are read in groups of one layout each. A file
+    that cannot be read gives one row with only the last two columns set.
+    """
+    return read_inspected(spark, schema, inspect_files(list_files(spark, list(paths), "*.parquet")))
+
+
+def inspect_files(files: DataFrame) -> DataFrame:
+    """(_file, layout, problem) per file of `files` (`_file`): the columns and types of a Parquet file, or whether a JSON
+    file holds one record per line. A task opens each file for its first bytes or its footer only."""
+    def look(name: str) -> tuple[str, str | None]:
+        system, path = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", name) if ":/" in name else f"file://{name}")
+        with system.open_input_file(path) as stream:
+            if name.endswith(".parquet"):
+                try:
+                    return "parquet " + ", ".join(f"{f.name} {f.type}" for f in pq.read_schema(stream)), None
+                except (pa.ArrowInvalid, OSError) as error:
+                    return "unreadable", f"not readable as Parquet: {error}"
+            head = stream.read(1 << 16).lstrip(b"\xef\xbb\xbf \t\r\n")
+            if not head:
+                return "lines", None
+            first = head.split(b"\n", 1)[0]
+            if head[:1] != b"{" or len(first) == len(head) == 1 << 16:
+                return ("array" if head[:1] == b"[" else "lines"), None
+            try:
+                json.loads(first)
+                return "lines", None
+            except ValueError:  # an object over several lines, or a bad first line before good ones
+                rest = [line for line in head.split(b"\n")[1:-1] if line.startswith(b"{")]
+                return ("lines" if rest else "array"), None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            found = [look(name) for name in names]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (names, *zip(*found))] if names else
+                                             [pa.array([], pa.string())] * 3, names=["_file", "layout", "problem"])
+    return files.select("_file").mapInArrow(run, "_file string, layout string, problem string")
+
+
+def read_inspected(spark: SparkSession, schema: StructType, inspected: DataFrame) -> DataFrame:
+    """The rows of inspected files, a group of files per layout. What reaches the driver is the list of files, as it
+    does in every read of a folder."""
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType()), StructField("_file", StringType())])
+    parts = [spark.createDataFrame([], wide)]
+    for group in inspected.groupBy("layout").agg(F.collect_list("_file").alias("files"), F.collect_list("problem").alias("problems")).collect():
+        if group.layout == "unreadable":
+            bad = spark.createDataFrame(list(zip(group.problems, group.files)), f"{CORRUPT} string, _file string")
+            parts.append(bad.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], CORRUPT, "_file"))
+        elif group.layout in ("array", "lines"):
+            parts.append(read_json_drops(spark, schema, *group.files, lines=group.layout == "lines"))
+        else:
+            own = spark.read.parquet(*group.files)
+            parts.append(own.select(*[
+                F.col(f.name).cast(f.dataType).alias(f.name) if f.name in own.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in schema.fields], F.lit(None).cast("string").alias(CORRUPT), F.col("_metadata.file_path").alias("_file")))
+    return reduce(DataFrame.unionByName, parts[1:] or parts)
 
-def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+
+def list_files(spark: SparkSession, folder: str | list[str], pattern: str) -> DataFrame:
     """The paths of the files below `folder` whose names match `pattern`; contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
             .load(folder).select(F.col("path").alias("_file")))
@@ -68,22 +129,13 @@ def coerce_to_raw(df: DataFrame, shop: str) -> DataFrame:
 
 
 def read_shop_drops(spark: SparkSession, data_dir: str, shop: str) -> DataFrame | None:
-    """All drop files of a shop (`<data_dir>/<shop>/*.json|*.jsonl|*.parquet`) as text rows, or None."""
-    schema, folder, parts = drop_schema(shop), f"{data_dir}/{shop}", []
-    for suffix, lines in (("json", False), ("jsonl", True)):
-        if _any(spark, f"{folder}/*.{suffix}"):
-            parts.append(read_json_drops(spark, schema, f"{folder}/*.{suffix}", lines=lines))
-    if _any(spark, f"{folder}/*.parquet"):
-        try:
-            parts.append(read_parquet_drops(spark, schema, f"{folder}/*.parquet"))
-        except Exception as error:  # no file of the shop has a readable footer
-            log.error("%s: %s", folder, error)
-    if not parts:
+    """All drop files of a shop below `<data_dir>/<shop>` (`*.json`, `*.jsonl`, `*.parquet`) as text rows, or None without
+    any. What a JSON file holds, an array or lines, is read from it, not from its name."""
+    folder = f"{data_dir}/{shop}"
+    if not _any(spark, folder):
         return None
-    out = parts[0]
-    for other in parts[1:]:
-        out = out.unionByName(other)
-    return out
+    inspected = stored(inspect_files(list_files(spark, folder, "*.{json,jsonl,parquet}")), "inspected")
+    return None if inspected.isEmpty() else read_inspected(spark, drop_schema(shop), inspected)
 
 
 def _any(spark: SparkSession, glob: str) -> bool:

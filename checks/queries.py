@@ -800,6 +800,6 @@ def stream_raw_load(spark, sf):
     """New drop files merged into a raw table by a stream."""
     house, path = _house(spark), scratch_path(spark, "stream-drops")
     td.drop_items(spark, sf, "books").write.json(path)
-    drops.load_new_files(house, "books", path, f"{path}-state", td.RUN_TIME, lines=True).awaitTermination()
+    drops.load_new_files(house, "books", path, f"{path}-state", td.RUN_TIME).awaitTermination()
     return house.read("raw.books").select("product_id", "name", F.col("price").cast("double").alias("price"),
                                           F.col("rating").cast("bigint").alias("rating"), "source", "scraped_at")

@@ -187,6 +187,13 @@ def test_daily_run(spark, house, tmp_path):
     assert counts["marts"]["dim_products"] == 1 and house.count("marts.dim_products") == 36
     assert house.read("marts.dim_products").filter("id = '0_kabum'").first().price == 999.0
 
+    # A late row that is older than the staged one does not replace it.
+    latest = RUN + timedelta(days=2)
+    write_drop(tmp_path / "d3", "kabum", "k.json", [{**item("0", 1.0, "2024-01-01T05:00:00"), "source": "another page"}])
+    raw_load.load_directory(house, str(tmp_path / "d3"), latest)
+    transform.run_all(house, latest, since=later)
+    assert house.read("staging.stg_kabum").filter("product_id = '0'").first().price == 999.0
+
 
 def test_gates_stop_the_run(spark, house, tmp_path):
     drops_for_all(tmp_path / "d")

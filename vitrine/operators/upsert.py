@@ -54,6 +54,7 @@ def change_rows(target: DataFrame, batch: DataFrame, keys: list[str], table: str
     source_key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     operation = F.when(F.col("_known"), "update").otherwise("insert")
     return batch.join(known, keys, "left").select(
-        F.xxhash64(F.lit(table), *keys, now).alias("tracking_id"),
+        # Of the row's values, too: a repeated batch gives the ids it gave before, another batch of the run others.
+        F.xxhash64(F.lit(table), *sorted(batch.columns), now).alias("tracking_id"),
         F.lit(table).alias("source_table"), source_key.alias("source_key"), operation.alias("operation"),
         now.alias("changed_at"), extracted.alias("extracted_at"), now.alias("loaded_at"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 from ..operators import health, quality
@@ -33,10 +34,11 @@ def quality_gate(house: Warehouse) -> None:
 
 def health_gate(house: Warehouse, as_of: datetime, report_path: str | None = None) -> str:
     """Raise when the tables are unhealthy; returns the status."""
+    started = time.monotonic()
     checks = stored(health.full_check(house.spark, resolver(house), as_of), "health")
     house.replace("report.health_checks", checks)
     if report_path:
-        publish.export_report(health.report(checks, as_of), report_path)
+        publish.export_report(health.report(checks, as_of, time.monotonic() - started), report_path)
     status = health.summary(checks).first().status
     if status == "unhealthy":
         bad = health.alerts(checks, as_of).collect()
@@ -46,10 +48,10 @@ def health_gate(house: Warehouse, as_of: datetime, report_path: str | None = Non
 
 def daily_run(house: Warehouse, data_dir: str, run_time: datetime, since: datetime | None = None,
               report_path: str | None = None) -> dict:
-    """Load, transform, publish, check, watch; stops with an error at a failed gate."""
+    """Load, transform, check, publish, watch; stops with an error at a failed gate."""
     files = stored(raw_load.load_directory(house, data_dir, run_time), "file-results")
     counts = transform.run_all(house, run_time, since)
+    quality_gate(house)  # before publishing: a failed gate leaves the report tables as they were
     published = publish.all_to_report(house)
-    quality_gate(house)
     status = health_gate(house, run_time, report_path)
     return {"files": files, "transform": counts, "published": published, "status": status}

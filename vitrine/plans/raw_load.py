@@ -49,7 +49,7 @@ def upsert_table(house: Warehouse, table: str, batch: DataFrame, run_time: datet
     target = house.read(table) if house.exists(table) else None
     if track_changes:
         known = batch.limit(0) if target is None else target
-        house.append("lineage.change_tracking", change_rows(known, batch, keys, table, run_time))
+        changes = stored(change_rows(known, batch, keys, table, run_time), "changes")
     if target is None:
         merged = batch
     elif ignore_conflicts:
@@ -57,9 +57,17 @@ def upsert_table(house: Warehouse, table: str, batch: DataFrame, run_time: datet
     else:
         merged = upsert(target, batch, keys)
     house.replace(table, merged)
+    if track_changes:  # after the switch, and once: the same batch of the same run again adds nothing
+        append_new(house, "lineage.change_tracking", changes, "tracking_id")
     return count
 
 
+def append_new(house: Warehouse, table: str, rows: DataFrame, key: str) -> None:
+    """Append the rows whose key the table lacks."""
+    known = house.read(table).select(key) if house.exists(table) else None
+    house.append(table, rows if known is None else stored(rows.join(known, key, "left_anti").select(*rows.columns), "new-rows"))
+
+
 def load_rows(house: Warehouse, shop: str, drops: DataFrame, run_time: datetime) -> int:
     """Text rows of a shop's drop files into its raw table: typed, the newest per key, merged."""
     table = f"raw.{shop}"
@@ -92,10 +100,9 @@ def load_files(house: Warehouse, shop: str, paths: list[str], run_time: datetime
     return count
 
 
-def file_results(house: Warehouse, data_dir: str, shop: str, drops: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def file_results(files: DataFrame, shop: str, drops: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Per drop file: status, records after removing repeats within the file, and the error."""
     plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
-    files = list_files(house.spark, f"{data_dir}/{shop}", "*.{json,jsonl,parquet}")
     found = files.select(plain("_file").alias("file"), F.col("_file").endswith(".parquet").alias("columnar"))
     read = (drops.groupBy(plain("_file").alias("file"), F.col(CORRUPT).isNull().alias("sound"), *keys)
             .agg(F.count(CORRUPT).alias("bad"), F.min(CORRUPT).alias("text"))
@@ -112,6 +119,16 @@ def file_results(house: Warehouse, data_dir: str, shop: str, drops: DataFrame, k
         records.alias("count"), error.alias("error"))
 
 
+def record_files(house: Warehouse, shop: str, per_file: DataFrame, run_time: datetime) -> None:
+    """A lineage row for every file that gave rows or was refused in whole or in part, once per run."""
+    now = F.lit(run_time.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    runs = per_file.filter((F.col("count") > 0) | (F.col("status") != "success")).select(
+        F.col("file").alias("source_name"), F.lit("file").alias("source_type"), F.lit("raw").alias("target_schema"),
+        F.lit(shop).alias("target_table"), F.lit("load").alias("operation"), F.col("count").alias("record_count"),
+        now.alias("execution_time"), "status", F.col("error").alias("error_message"))
+    append_new(house, "lineage.data_lineage", with_lineage_id(runs), "lineage_id")
+
+
 def load_directory(house: Warehouse, data_dir: str, run_time: datetime) -> DataFrame:
     """Load the drop files of all shops; returns a result row per file. A bad file does not stop the others.
 
@@ -119,7 +136,6 @@ def load_directory(house: Warehouse, data_dir: str, run_time: datetime) -> DataF
     rewritten once.
     """
     house.create_all()
-    now = F.lit(run_time.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
 
     def load(shop: str) -> DataFrame | None:
         drops = read_shop_drops(house.spark, data_dir, shop)
@@ -127,13 +143,9 @@ def load_directory(house: Warehouse, data_dir: str, run_time: datetime) -> DataF
             return None
         drops = stored(drops, f"drops-{shop}")
         load_rows(house, shop, drops, run_time)
-        per_file = stored(file_results(house, data_dir, shop, drops, house.key(f"raw.{shop}")), f"files-{shop}")
-        runs = per_file.filter((F.col("count") > 0) | (F.col("status") != "success")).select(
-            F.col("file").alias("source_name"), F.lit("file").alias("source_type"),
-            F.lit("raw").alias("target_schema"), F.lit(shop).alias("target_table"), F.lit("load").alias("operation"),
-            F.col("count").alias("record_count"), now.alias("execution_time"), "status",
-            F.col("error").alias("error_message"))
-        house.append("lineage.data_lineage", with_lineage_id(runs))
+        files = list_files(house.spark, f"{data_dir}/{shop}", "*.{json,jsonl,parquet}")
+        per_file = stored(file_results(files, shop, drops, house.key(f"raw.{shop}")), f"files-{shop}")
+        record_files(house, shop, per_file, run_time)
         return per_file
 
     results = [r for r in in_parallel(house.spark, load, SHOPS) if r is not None]

@@ -6,40 +6,42 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from ..functions.text import item_hash
-from ..plans.raw_load import load_rows
+from ..plans.raw_load import file_results, load_rows, record_files
 from ..schemas import drop_schema
 from ..session import stored
 from ..sources.catalog import Warehouse
-from ..sources.files import CORRUPT
+from ..sources.files import inspect_files, read_inspected
 
 
-def stream_json(spark: SparkSession, schema: StructType, folder: str, max_files: int = 1000,
-                lines: bool = False) -> DataFrame:
-    """New JSON files of a folder, one array of records each (`lines`: one record per line); at most `max_files`
-    per micro-batch."""
-    return (spark.readStream.schema(StructType(list(schema.fields)).add(CORRUPT, "string"))
-            .option("multiLine", not lines).option("columnNameOfCorruptRecord", CORRUPT)
-            .option("maxFilesPerTrigger", max_files).option("pathGlobFilter", "*.json").json(folder))
+def new_files(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
+    """The paths of new drop files below a folder (`*.json`, `*.jsonl`, `*.parquet`); at most `max_files` per micro-batch.
+    Contents are not read."""
+    return (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,jsonl,parquet}")
+            .option("maxFilesPerTrigger", max_files).load(folder).select(F.col("path").alias("_file")))
 
 
 def load_new_files(house: Warehouse, shop: str, folder: str, checkpoint: str, run_time: datetime,
-                   max_files: int = 1000, lines: bool = False) -> StreamingQuery:
+                   max_files: int = 1000) -> StreamingQuery:
     """Merge the files that are new since the last call into the shop's raw table, then stop.
 
-    A micro-batch that is repeated after a failure merges the same rows again, which changes nothing.
+    Files may be of any form that `read_shop_drops` takes; each gives its lineage row, refused ones with the error. A
+    micro-batch that is repeated after a failure merges the same rows again and adds no change or lineage row.
     """
     house.create_all()
-    rows = stream_json(house.spark, drop_schema(shop), folder, max_files, lines)
 
     def merge(batch: DataFrame, _: int) -> None:
-        any_value = F.coalesce(*[F.col(f.name) for f in drop_schema(shop).fields]).isNotNull()
-        load_rows(house, shop, stored(batch.filter(any_value), "stream-drops"), run_time)
-
-    return (rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+        inspected = stored(inspect_files(batch), "stream-files")
+        if inspected.isEmpty():
+            return
+        rows = stored(read_inspected(house.spark, drop_schema(shop), inspected), "stream-drops")
+        load_rows(house, shop, rows, run_time)
+        record_files(house, shop, stored(file_results(inspected, shop, rows, house.key(f"raw.{shop}")), "stream-results"), run_time)
+
+    return (new_files(house.spark, folder, max_files).writeStream.foreachBatch(merge)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def _timed(items: DataFrame) -> DataFrame:

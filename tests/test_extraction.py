@@ -123,7 +123,8 @@ def test_product_links_only_without_cards(spark):
     card = '<div class="item"><h2>x</h2></div>'
     near = '<div class="product-list"></div>'
     found = html.product_links(pages(spark, anchors, card + anchors, near + anchors))
-    assert rows(found.groupBy("page_id").count()) == [(0, 10), (2, 10)]
+    assert rows(found.groupBy("page_id").count()) == [(0, 15), (2, 15)]
+    assert html.product_links(pages(spark, anchors), first=10).count() == 10
 
 
 def test_next_page(spark):

@@ -64,8 +64,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
     # One more entry than windows: the first element of each document's array stands for the document itself.
     head = found.sparkSession.createDataFrame([(0, 0, "", [])], found.schema)
     table = found.unionByName(head).withColumnsRenamed({"gram": "w_gram", "size": "w_size", "phrase": "w_phrase"})
-    if (seen["bytes"] or 0) <= BROADCAST_BYTES:
-        table = F.broadcast(table)
+    small = (seen["bytes"] or 0) <= BROADCAST_BYTES
+    table = F.broadcast(table) if small else table.hint("merge")
     base = docs.select(F.col(doc_id).alias("id"), text_key(text).alias("text_key"), words(text).alias("words"))
     hashed = base.select("*", F.size("words").alias("n_words"), _hashes(F.col("words")).alias("hashes"))
     grams = hashed.select("id", "text_key", "words", "n_words", F.concat(
@@ -78,8 +78,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
         inside = F.col("at") >= begin
         start, size = F.when(inside, F.col("at") - begin).otherwise(start), F.when(inside, F.lit(s)).otherwise(size)
         begin = begin + F.greatest(F.col("n_words") - (s - 1), F.lit(0))
-    same = lower_ascii(F.array_join(F.slice("words", start + 1, F.col("w_size")), " ")) == F.col("w_phrase")
-    real = (F.col("at") > 0) & (F.col("w_size") == size) & same
+    said = lower_ascii(F.array_join(F.slice("words", F.greatest(start + 1, F.lit(1)), size), " "))
+    if not small:  # what is shuffled carries its own window, not all words of the document
+        each, said = each.withColumn("said", said).drop("words"), F.col("said")
+    real = (F.col("at") > 0) & (F.col("w_size") == size) & (said == F.col("w_phrase"))
     met = each.join(table, (F.col("gram") == F.col("w_gram")) & F.when(F.col("at") == 0, F.col("w_size") == 0).otherwise(real))
     span = F.when(F.col("at") > 0, F.struct(start.alias("start"), (start + F.col("w_size")).alias("stop")))
     return met.groupBy("id", "text_key").agg(

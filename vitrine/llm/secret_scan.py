@@ -29,7 +29,7 @@ ISSUED = (r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A
 #: Words before an assignment that name a secret, and words that name something public.
 SECRET_WORDS = r"(?i)(password|passwd|pwd|secret|token|credential|api[_-]?key|auth|private[_-]?key|access[_-]?key)"
 PUBLIC_WORDS = r"(?i)(example|sample|sha1|sha256|md5|checksum|commit|uuid|digest|order|phone|card|http|www|mail)"
-ASSIGNED = r"[=:]\s*[\"']?$"
+ASSIGNED = r"(?<!http)(?<!https)[=:]\s*[\"']?$"
 #: Lookups up to this many rows are broadcast.
 BROADCAST_ROWS = 500_000
 FEATURES = ("length", "digits", "upper", "lower", "other", "transitions", "hex_only", "digits_only", "distinct_share", "coverage",
@@ -84,7 +84,7 @@ def featured(found: DataFrame, covered: DataFrame) -> DataFrame:
         "hex_only": flag(F.col("candidate").rlike("^[0-9a-f]+$|^[0-9A-F]+$")), "digits_only": flag(F.col("candidate").rlike("^[0-9.\\-]+$")),
         "distinct_share": F.size(F.array_distinct(F.split("candidate", ""))) / length,
         "slashes": _count("/"), "dots": _count("[.]"),
-        "after_path": flag(last.rlike(r"[/\\@]$|://\S*$|@\S*$")), "before_path": flag(F.col("after").rlike(r"^[/\\@]")),
+        "after_path": flag(last.rlike(r"[/\\@]$|https?:$|://\S*$|@\S*$")), "before_path": flag(F.col("after").rlike(r"^[/\\@]")),
         "assigned": flag(last.rlike(ASSIGNED)), "quoted": flag(last.rlike("[\"']$")),
         "secret_word": flag(last.rlike(SECRET_WORDS)), "public_word": flag(F.concat(last, F.lit(" "), F.col("after")).rlike(PUBLIC_WORDS)),
         "issued_prefix": flag(F.col("candidate").rlike(r"^(AKIA|ASIA|gh[pousr]_|xox[abprs]-|AIza|sk_|eyJ)"))})
@@ -94,7 +94,7 @@ def rule_label() -> Column:
     """1 where the format or an assignment to a secret's name decides for a secret, 0 where numbers, hosts and paths
     decide against it, null where it is open."""
     secret = F.col("candidate").rlike(ISSUED) | (F.col("before").rlike(SECRET_WORDS + r"\s*[=:]\s*[\"']?$") & F.col("candidate").rlike("[0-9]"))
-    public = (F.col("candidate").rlike(r"^[0-9.\-]+$|[.](com|org|net|edu|io|html?|png|jpg|py|js)$") | F.col("before").rlike(r"@$|://\S*$"))
+    public = (F.col("candidate").rlike(r"^[0-9.\-]+$|[.](com|org|net|edu|io|html?|png|jpg|py|js)$") | F.col("candidate").rlike("^//") | F.col("before").rlike(r"@$|://\S*$"))
     return F.when(secret, 1.0).when(public, 0.0)
 
 

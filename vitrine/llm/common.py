@@ -94,7 +94,14 @@ def majority_bits(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """
     runs = np.diff(np.append(starts, hashes.shape[-1]))
     bits = np.unpackbits(np.ascontiguousarray(hashes).view(np.uint8).reshape(*hashes.shape, 8), axis=-1)
-    ones = np.add.reduceat(bits, starts, axis=-2, dtype=np.int32)
+    # Eight one-byte counters at a time in a 64-bit word, which hold for up to 255 hashes; longer runs go in pieces.
+    starts = np.asarray(starts)
+    pieces = np.concatenate([np.arange(a, a + n, 255) for a, n in zip(starts.tolist(), runs.tolist())]) if (runs > 255).any() else starts
+    ones = np.add.reduceat(bits.view(np.uint64), pieces, axis=-2).view(np.uint8)
+    if len(pieces) > len(starts):
+        ones = np.add.reduceat(ones, np.searchsorted(pieces, starts), axis=-2, dtype=np.int32)
+    else:
+        ones = ones.astype(np.int32)
     return np.packbits(ones * 2 > runs[:, None], axis=-1).view(np.uint64)[..., 0]
 
 

@@ -35,7 +35,7 @@ from vitrine.llm.common import whole
 
 BUCKETS = 1 << 18
 GRADES = 3
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 100_000
 SPLIT = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
 
 

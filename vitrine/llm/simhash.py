@@ -9,7 +9,7 @@ Two forms share the machinery:
   15 % of SimHash bits differ, which no split of 64 bits into blocks can serve. The fingerprint therefore has
   `sections`: shingles are dealt to sections by their hash, a section is the SimHash of the few shingles in it, and
   close documents share whole sections (pigeonhole on the shingles that differ). Candidates are verified by Hamming
-  distance over a 512-bit fingerprint of all shingles.
+  distance over a 1024-bit fingerprint of all shingles.
 
 Exact copies are one fingerprint; groups of any size are compared in bounded blocks (`common.meetings`).
 
@@ -34,11 +34,12 @@ from vitrine.session import stored
 
 #: A section holds this many shingles on average, at most twice as many.
 SECTION_SHINGLES = 5
-LANES = 8
+LANES = 16
 LANE_FACTORS = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & (1 << 64) - 1 for i in range(LANES)], np.uint64)
 SECTIONS = 16
-#: Bits of 512 that differ at a Jaccard similarity of 0.8: the cosine is 2J / (1 + J), the share of bits its angle / pi.
-NEAR_BITS = 82
+#: Bits of 1024 that differ at a Jaccard similarity of just under 0.8: the cosine is 2J / (1 + J), the share of bits its
+#: angle / pi, and the estimate scatters by a hundredth.
+NEAR_BITS = 164
 HASHES_AT_ONCE = 1 << 16
 ALL_BITS = (1 << 64) - 1
 
@@ -88,31 +89,76 @@ def block_keys(fp: Column, bits: int) -> Column:
     return F.array(*keys)
 
 
-def hamming_links(prints: DataFrame, bits: int, block: int = 512) -> DataFrame:
+def _close(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
+    return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)) <= bits
+
+
+def _links_rows(a, b, key) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, key)], names=["a", "b", "key"])
+
+
+def hamming_links(prints: DataFrame, bits: int, block: int = 512, direct: int = 32) -> DataFrame:
     """Edges (a, b) that connect distinct fingerprints (`fp`) exactly as all links at `bits` differing bits do.
 
-    Fewer edges than links: each comparison group gives one star per connected part of it.
+    The keyed fingerprints are sorted over ranges of (key, fp), so that those with one key stand together, a large key
+    over several tasks. Keys with at most `direct` fingerprints are compared where they stand. Larger keys, and keys at
+    the ends of ranges, are passed on and compared in blocks, one star per connected part of a block.
     """
-    keyed = prints.select("fp", F.explode(block_keys(F.col("fp"), bits)).alias("key"))
-    met = meetings(keyed, "key", "fp", block=block).select("group.fp")
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, fp = np.empty(0, np.int64), np.empty(0, np.int64)
+        first = True
+        for batch in batches:
+            key = np.append(key, np.asarray(batch.column(0)))
+            fp = np.append(fp, np.asarray(batch.column(1)))
+            if not len(key):
+                continue
+            # The last key may go on in the next batch, the first may have begun in another range.
+            ends = np.flatnonzero(np.append(key[1:] != key[:-1], False)) + 1
+            if first and len(ends):
+                yield _links_rows(fp[:ends[0]], [None] * int(ends[0]), key[:ends[0]])
+                key, fp, ends, first = key[ends[0]:], fp[ends[0]:], ends[1:] - ends[0], False
+            if not first and len(ends):
+                yield from _compared(key[:ends[-1]], fp[:ends[-1]], bits, direct)
+                key, fp = key[ends[-1]:], fp[ends[-1]:]
+            elif len(key) > 1 << 20:
+                yield _links_rows(fp[:-1], [None] * (len(fp) - 1), key[:-1])
+                key, fp, first = key[-1:], fp[-1:], True  # what follows of this key is passed on, too
+        if len(key):
+            yield _links_rows(fp, [None] * len(fp), key)
+    keyed = prints.select(F.explode(block_keys(F.col("fp"), bits)).alias("key"), "fp")
+    found = stored(keyed.repartitionByRange("key", "fp").sortWithinPartitions("key", "fp").mapInArrow(
+        sweep, "a long, b long, key long"), "swept")
+    rest = found.filter("b is null").select("key", F.col("a").alias("fp")).distinct()
+    met = meetings(rest, "key", "fp", block=block).select("group.fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
             for group in batch.column(0):
-                found = group.as_py()
-                if len(found) == 2:
-                    if ((found[0] ^ found[1]) & ALL_BITS).bit_count() <= bits:
-                        a.append(found[0])
-                        b.append(found[1])
-                    continue
-                fps = np.array(found, np.int64).view(np.uint64)
-                label = stars(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= bits)
-                for i in np.flatnonzero(label != np.arange(len(found))):
-                    a.append(found[i])
-                    b.append(found[label[i]])
+                fps = np.asarray(group.values)
+                label = stars(_close(fps[:, None], fps[None, :], bits))
+                other = np.flatnonzero(label != np.arange(len(fps)))
+                a += fps[other].tolist()
+                b += fps[label[other]].tolist()
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-    return met.mapInArrow(run, "a long, b long")
+    return found.filter("b is not null").select("a", "b").union(met.mapInArrow(run, "a long, b long"))
+
+
+def _compared(key: np.ndarray, fp: np.ndarray, bits: int, direct: int) -> Iterator[pa.RecordBatch]:
+    """Links within whole keys of a sorted run; the members of keys larger than `direct` come as rows without `b`."""
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    sizes = np.diff(np.append(starts, len(key)))
+    large = np.repeat(sizes > direct, sizes)
+    if large.any():
+        yield _links_rows(fp[large], [None] * int(large.sum()), key[large])
+        key, fp = key[~large], fp[~large]
+    for step in range(1, direct):
+        together = np.flatnonzero(key[step:] == key[:-step])
+        if not len(together):
+            break
+        a, b = fp[together], fp[together + step]
+        near = _close(a, b, bits)
+        yield _links_rows(a[near], b[near], [None] * int(near.sum()))
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, bits: int = 2) -> DataFrame:
@@ -128,7 +174,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
 
 
 def _sketch(hashes: np.ndarray) -> tuple[bytes, list[int]]:
-    """The 512-bit fingerprint of a set of shingle hashes, and its section keys."""
+    """The 1024-bit fingerprint of a set of shingle hashes, and its section keys."""
     ones = np.zeros((LANES, 64), np.int64)
     for at in range(0, len(hashes), HASHES_AT_ONCE // LANES):
         lanes = hashes[None, at:at + HASHES_AT_ONCE // LANES] * LANE_FACTORS[:, None]
@@ -195,8 +241,8 @@ def _near_links(met: DataFrame, most: int) -> DataFrame:
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, most: int = NEAR_BITS,
                 block: int = 256) -> DataFrame:
-    """One row per document: doc_id, digest (MD5 of its text), component_id (smallest doc_id of its group), copies
-    (rows that carry this id and text)."""
+    """One row per document: doc_id, digest (MD5 of its text), root (of its group), component_id (smallest doc_id of the
+    group), copies (rows that carry this id and text)."""
     rows = stored(sketches(docs, doc_id, text, width), "sketches")
     texts = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("wide").alias("wide"), F.first("keys").alias("keys"))
     texts = stored(texts, "texts")
@@ -205,9 +251,9 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wid
     roots = connected(_near_links(met, most)).toDF("digest", "root")
     named = texts.select("digest", "first").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_text = named.join(smallest, "root").select("digest", "component_id")
+    of_text = named.join(smallest, "root").select("digest", "root", "component_id")
     return (rows.groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
-            .join(of_text, "digest").select("doc_id", "digest", "component_id", "copies"))
+            .join(of_text, "digest").select("doc_id", "digest", "root", "component_id", "copies"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -217,10 +263,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     are all null keeps one row, too.
     """
     found = near_copies(docs, doc_id, text).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # A null id alone is a group by text; equal ids of different groups are different documents.
-    kept = stored(found.groupBy("component_id", "doc_id").agg(
-        F.min("digest").alias("_digest"), F.sum("copies").alias("_copies"), F.count("*").alias("_texts"))
-        .select(F.col("doc_id").alias("_id"), "_digest", F.expr("_copies > 1").alias("_repeated")), "kept")
+    # Equal ids of different groups are different documents.
+    kept = stored(found.groupBy("root", "doc_id").agg(F.min(F.struct("digest", "copies")).alias("one")).select(
+        F.col("doc_id").alias("_id"), F.col("one.digest").alias("_digest"), (F.col("one.copies") > 1).alias("_repeated")), "kept")
     rows = docs.select(whole(docs), F.col(doc_id).alias("own_id"),
                        F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("own_digest"))
     same = F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_digest") == F.col("_digest"))

@@ -223,6 +223,33 @@ def test_lines_agree_with_brute_force(spark, docs):
         assert got[i] == "\n".join(p for no, p in enumerate(text.split("\n")) if not line_dedup.normal_form(p) or (i, no) in keep)
 
 
+def test_lines_by_edit_similarity_alone(spark, docs):
+    rng, rows, want = random.Random(11), [(r.doc_id, r.text) for r in docs.collect()], defaultdict(list)
+    for k in range(400):
+        n = (7, 15, 30, 60)[k % 4]
+        words = prose(n, 7000 + k).split()
+        edited = list(words)
+        for at in rng.sample(range(n), 1 if n < 10 else n // 10):
+            edited[at] = rng.choice(VOCABULARY)
+        if words != edited and line_dedup.similar(" ".join(words), " ".join(edited), 0.8):
+            rows += [(50_000 + 2 * k, " ".join(words)), (50_001 + 2 * k, " ".join(edited))]
+            want[n].append(50_001 + 2 * k)
+    gone = {r.row.doc_id for r in line_dedup.dedup(documents(spark, rows), bits=None).collect() if r.n_removed}
+    assert all(sum(i in gone for i in ids) >= 0.93 * len(ids) for ids in want.values()) and min(map(len, want.values())) > 50
+    assert not gone & {i - 1 for ids in want.values() for i in ids}
+    # All links between the lines of the test table, by brute force and without a bar on bits.
+    at = places([(i, t) for i, t in rows if i < 50_000], line_dedup.normal_form)
+    forms = sorted(at, key=len)
+    pairs = [(i, j) for i, a in enumerate(forms) for j in range(i + 1, len(forms)) if len(a) >= .8 * len(forms[j]) - 1e-9
+             and 2 * len({*a.split()} & {*forms[j].split()}) >= len({*a.split()}) and line_dedup.similar(a, forms[j], .8)]
+    first = union_find(range(len(forms)), pairs)
+    found, kept = line_dedup.groups(docs, bits=None)
+    heads = {(r.doc_id, r.no): tuple(r.keeper) for r in found.join(kept, "part_id").collect()}
+    together = sum(heads.get(at[forms[i]][0], 0) == heads.get(at[forms[j]][0], 1) for i, j in pairs)
+    assert len(pairs) > 20 and together >= 0.95 * len(pairs)
+    assert len(set(heads.values())) >= len({first[i] for i, f in enumerate(forms) if at[f][0] in heads})
+
+
 def test_edit_distance_against_the_table():
     rng = random.Random(3)
     for _ in range(300):

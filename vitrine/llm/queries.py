@@ -44,7 +44,7 @@ def op3_paragraph_dedup(spark, sf_dir):
 
 @query
 def op4_line_dedup(spark, sf_dir):
-    found = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    found = line_dedup.dedup(table(spark, sf_dir, "documents"), bits=None)
     return found.select("row.doc_id", F.col("n_parts").alias("n_lines"), "n_removed", F.col("left").alias("text"))
 
 

@@ -430,6 +430,36 @@ def test_near_copies_by_similarity(spark):
     assert kept == {i for i, c in got.items() if i == c}
 
 
+def shingle_jaccard(a, b):
+    a, b = ({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def edited_pairs(n_words, n, rng, seed, low, high):
+    """Pairs of texts with a similarity from `low` to below `high`, cut at an end or with single words edited."""
+    found, k = [], 0
+    while len(found) < n:
+        k += 1
+        words = prose(n_words, seed + k).split()
+        other = list(words)
+        for at in rng.sample(range(n_words), rng.randint(0, max(1, n_words // 25))):
+            other[at] = f"edit{at}"
+        other = other[:n_words - rng.randint(0, max(1, n_words // 4))]
+        if low <= shingle_jaccard(" ".join(words), " ".join(other)) < high:
+            found.append((" ".join(words), " ".join(other)))
+    return found
+
+
+def test_near_copies_on_both_sides_of_the_threshold(spark):
+    rng = random.Random(21)
+    for_far = edited_pairs(300, 150, rng, 21_000, 0.74, 0.795)
+    for_near = edited_pairs(300, 150, rng, 31_000, 0.805, 0.83)
+    rows = [(2 * k + side, pair[side]) for k, pair in enumerate(for_far + for_near) for side in (0, 1)]
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(documents(spark, rows)).collect()}
+    linked = [got[2 * k + 1] == 2 * k for k in range(300)]
+    assert not any(linked[:150]) and sum(linked[150:]) >= 0.93 * 150
+
+
 # 10. Secrets.
 
 def test_secret_scan_on_held_out_findings(spark):

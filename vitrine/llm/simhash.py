@@ -8,8 +8,8 @@ Two forms share the machinery:
 * `near_copies`: documents whose five-word shingle sets have a Jaccard similarity of about 0.8 or more. There about
   15 % of SimHash bits differ, which no split of 64 bits into blocks can serve. The fingerprint therefore has
   `sections`: shingles are dealt to sections by their hash, a section is the SimHash of the few shingles in it, and
-  close documents share whole sections (pigeonhole on the shingles that differ). Candidates are verified by Hamming
-  distance over a 1024-bit fingerprint of all shingles.
+  close documents share whole sections (pigeonhole on the shingles that differ). Candidates pass a loose
+  Hamming filter over a 1024-bit fingerprint of all shingles; the exact Jaccard similarity of the shingles decides.
 
 Exact copies are one fingerprint; groups of any size are compared in bounded blocks (`common.meetings`).
 
@@ -40,6 +40,8 @@ SECTIONS = 16
 #: Bits of 1024 that differ at a Jaccard similarity of just under 0.8: the cosine is 2J / (1 + J), the share of bits its
 #: angle / pi, and the estimate scatters by a hundredth.
 NEAR_BITS = 164
+#: The filter before the exact Jaccard similarity: three standard deviations above what differs at 0.8.
+LOOSE_BITS = 190
 HASHES_AT_ONCE = 1 << 16
 ALL_BITS = (1 << 64) - 1
 
@@ -239,8 +241,8 @@ def _near_links(met: DataFrame, most: int) -> DataFrame:
     return met.mapInArrow(run, "a binary, b binary")
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, most: int = NEAR_BITS,
-                block: int = 256) -> DataFrame:
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, most: int = LOOSE_BITS,
+                block: int = 256, similarity: float = 0.8) -> DataFrame:
     """One row per document: doc_id, digest (MD5 of its text), root (of its group), component_id (smallest doc_id of the
     group), copies (rows that carry this id and text)."""
     rows = stored(sketches(docs, doc_id, text, width), "sketches")
@@ -248,7 +250,13 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wid
     texts = stored(texts, "texts")
     keyed = texts.select("digest", F.explode("keys").alias("key"))
     met = meetings(keyed, "key", "digest", texts.select("digest", "wide"), block).select("group")
-    roots = connected(_near_links(met, most)).toDF("digest", "root")
+    near = connected(_near_links(met, most)).toDF("digest", "near")
+    own = docs.select(F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("part_id"), F.col(text).alias("part"))
+    company = near.select(F.col("digest").alias("part_id"), "near")
+    parts = own.join(company.select("part_id"), "part_id", "left_semi").groupBy("part_id").agg(F.first("part").alias("part"))
+    from vitrine.llm.paragraph_dedup import _verified  # which takes the shingles from here
+    exact = _verified(meetings(company, "near", "part_id", parts, block).select("group"), similarity, width)
+    roots = connected(exact).toDF("digest", "root")
     named = texts.select("digest", "first").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_text = named.join(smallest, "root").select("digest", "root", "component_id")

@@ -460,6 +460,18 @@ def test_near_copies_on_both_sides_of_the_threshold(spark):
     assert not any(linked[:150]) and sum(linked[150:]) >= 0.93 * 150
 
 
+def test_near_copies_of_texts_of_any_length(spark):
+    rng, rows, lengths = random.Random(22), [], (6, 9, 14, 20, 30, 50, 80, 103, 115, 130, 200)
+    for n in lengths:
+        for pair in edited_pairs(n, 60, rng, 100_000 * n, 0.5 if n < 9 else 0.8, 1.0):
+            rows += [(len(rows), pair[0]), (len(rows) + 1, pair[1])]
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(documents(spark, rows)).collect()}
+    for at, n in enumerate(lengths):
+        want = [shingle_jaccard(rows[i][1], rows[i + 1][1]) >= 0.8 for i in range(120 * at, 120 * at + 120, 2)]
+        linked = [got[i + 1] == i for i in range(120 * at, 120 * at + 120, 2)]
+        assert linked == want if n < 120 else sum(linked) >= 0.95 * sum(want), n
+
+
 # 10. Secrets.
 
 def test_secret_scan_on_held_out_findings(spark):

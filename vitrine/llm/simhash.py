@@ -8,7 +8,9 @@ Two forms share the machinery:
 * `near_copies`: documents whose five-word shingle sets have a Jaccard similarity of about 0.8 or more. There about
   15 % of SimHash bits differ, which no split of 64 bits into blocks can serve. The fingerprint therefore has
   `sections`: shingles are dealt to sections by their hash, a section is the SimHash of the few shingles in it, and
-  close documents share whole sections (pigeonhole on the shingles that differ). Candidates pass a loose
+  close documents share whole sections (pigeonhole on the shingles that differ). Texts of up to `SHORT` shingles have
+  exact keys instead: in any fixed order of all shingles, two sets at a Jaccard similarity of 0.8 share one of the first
+  n - ceil(0.8 n) + 1 of each. Candidates pass a loose
   Hamming filter over a 1024-bit fingerprint of all shingles; the exact Jaccard similarity of the shingles decides.
 
 Exact copies are one fingerprint; groups of any size are compared in bounded blocks (`common.meetings`).
@@ -42,6 +44,12 @@ SECTIONS = 16
 NEAR_BITS = 164
 #: The filter before the exact Jaccard similarity: three standard deviations above what differs at 0.8.
 LOOSE_BITS = 190
+#: The same where a text is short, whose fingerprint scatters more.
+LOOSE_BITS_SHORT = 320
+#: Texts of fewer than SECTIONED shingles have exact keys only; their near copies have SHORT shingles at most.
+SECTIONED = 100
+SHORT = 125
+LEAST = 0.8
 HASHES_AT_ONCE = 1 << 16
 ALL_BITS = (1 << 64) - 1
 
@@ -189,6 +197,10 @@ def _sketch(hashes: np.ndarray) -> tuple[bytes, list[int]]:
     place = mixed >> np.uint64(32)
     scale = np.log2(max(len(hashes) / SECTION_SHINGLES, 1))
     keys = []
+    if len(hashes) <= SHORT:
+        keys = np.sort(hashes)[:len(hashes) - int(np.ceil(LEAST * len(hashes) - 1e-9)) + 1].view(np.int64).tolist()
+    if len(hashes) < SECTIONED:
+        return wide, keys
     for level in sorted({int(np.floor(scale)), int(np.ceil(scale))}):
         section = place & np.uint64((1 << level) - 1)
         inside = np.flatnonzero(section < SECTIONS)
@@ -204,22 +216,23 @@ def _sketch(hashes: np.ndarray) -> tuple[bytes, list[int]]:
 
 
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
-    """(doc_id, digest, wide, keys) per row; `digest` is the MD5 of the text, texts without words have no keys."""
+    """(doc_id, digest, wide, keys, size) per row; `size` counts the shingles, `digest` is the MD5 of the text, texts without words have no keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wide, keys = [], []
+            wide, keys, sizes = [], [], []
             for value in batch.column(2):
                 hashes = np.unique(np.array(shingle_hashes(value.as_py(), width), np.uint64))
                 found = _sketch(hashes) if len(hashes) else (b"", [])
                 wide.append(found[0])
                 keys.append(found[1])
+                sizes.append(len(hashes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(wide, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "digest", "wide", "keys"])
+                [batch.column(0), batch.column(1), pa.array(wide, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(sizes, pa.int32())], names=["doc_id", "digest", "wide", "keys", "size"])
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("digest"),
                        F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, digest binary, wide binary, keys array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, digest binary, wide binary, keys array<long>, size int")
 
 
 def _near_links(met: DataFrame, most: int) -> DataFrame:
@@ -233,7 +246,9 @@ def _near_links(met: DataFrame, most: int) -> DataFrame:
                 apart = np.zeros((len(found), len(found)), np.int32)
                 for lane in wide.T:
                     apart += np.bitwise_count(lane[:, None] ^ lane[None, :])
-                label = stars(apart <= most)
+                size = np.array([x["size"] for x in found])
+                low, high = np.minimum(size[:, None], size[None, :]), np.maximum(size[:, None], size[None, :])
+                label = stars((apart <= np.where(low <= SHORT, LOOSE_BITS_SHORT, most)) & (low >= LEAST * high - 1e-9))
                 for i in np.flatnonzero(label != np.arange(len(found))):
                     a.append(ids[i])
                     b.append(ids[label[i]])
@@ -242,14 +257,15 @@ def _near_links(met: DataFrame, most: int) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, most: int = LOOSE_BITS,
-                block: int = 256, similarity: float = 0.8) -> DataFrame:
+                block: int = 256, similarity: float = LEAST) -> DataFrame:
     """One row per document: doc_id, digest (MD5 of its text), root (of its group), component_id (smallest doc_id of the
     group), copies (rows that carry this id and text)."""
     rows = stored(sketches(docs, doc_id, text, width), "sketches")
-    texts = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("wide").alias("wide"), F.first("keys").alias("keys"))
+    texts = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("wide").alias("wide"), F.first("keys").alias("keys"),
+                                        F.first("size").alias("size"))
     texts = stored(texts, "texts")
     keyed = texts.select("digest", F.explode("keys").alias("key"))
-    met = meetings(keyed, "key", "digest", texts.select("digest", "wide"), block).select("group")
+    met = meetings(keyed, "key", "digest", texts.select("digest", "wide", "size"), block).select("group")
     near = connected(_near_links(met, most)).toDF("digest", "near")
     own = docs.select(F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("part_id"), F.col(text).alias("part"))
     company = near.select(F.col("digest").alias("part_id"), "near")

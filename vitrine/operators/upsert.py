@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _has_key(keys: list[str]) -> Column:
+def has_key(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
@@ -23,22 +23,35 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """The target after inserting or overwriting the batch's rows; the batch holds each key once.
 
     Columns missing from the batch keep their values (NULL for new rows). Rows with a NULL in the key never
-    conflict: they by-pass the join, so any number of them stays spread over the tasks. Both sides hold a key at
-    most once, so the join has no hot key; a target bucketed by the key is not shuffled.
+    conflict: they by-pass the join, so any number of them stays spread over the tasks, and are added unless the target
+    holds their values. Both sides hold a key at most once, so the join has no hot key.
     """
     columns, given = target.columns, set(batch.columns)
     if given - set(columns):
         raise ValueError(f"batch columns not in the target: {sorted(given - set(columns))}")
     types = {f.name: f.dataType.simpleString() for f in target.schema}
     batch = batch.selectExpr(*[f"cast(`{c}` as {types[c]}) as `{c}`" for c in batch.columns])
-    old = target.filter(_has_key(keys)).alias("old")
-    new = batch.filter(_has_key(keys)).withColumn("_new", F.lit(True)).alias("new")
+    old = target.filter(has_key(keys)).alias("old")
+    new = batch.filter(has_key(keys)).withColumn("_new", F.lit(True)).alias("new")
     joined = old.join(new, F.expr(" and ".join(f"old.`{k}` = new.`{k}`" for k in keys)), "full")
     merged = joined.selectExpr(*[f"if(new._new, new.`{c}`, old.`{c}`) as `{c}`" if c in given else f"old.`{c}`"
                                  for c in columns])
-    keyless = batch.filter(~_has_key(keys)).selectExpr(*[
+    keyless = new_keyless(target, batch, keys).selectExpr(*[
         f"`{c}`" if c in given else f"cast(null as {types[c]}) as `{c}`" for c in columns])
-    return merged.union(target.filter(~_has_key(keys))).union(keyless)
+    return merged.union(target.filter(~has_key(keys))).union(keyless)
+
+
+CDC_COLUMNS = ("updated_at", "_extract_ts", "deleted_at")
+
+
+def new_keyless(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The batch rows with a NULL in the key whose values, the times of change left out, no such row of the target has."""
+    values = [c for c in batch.columns if c not in CDC_COLUMNS]
+    types = {f.name: f.dataType for f in target.schema}
+    digest = F.xxhash64(*[x for c in values for x in (F.col(c).cast(types[c]), F.col(c).isNull())])
+    loose = batch.filter(~has_key(keys)).withColumn("_values", digest)
+    known = target.filter(~has_key(keys)).select(digest.alias("_values")).distinct()
+    return loose.join(known, "_values", "left_anti").drop("_values")
 
 
 def insert_only(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

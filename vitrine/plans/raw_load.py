@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.dedup import newest_per_key
 from ..operators.lineage import lineage_row, with_lineage_id
-from ..operators.upsert import add_cdc_columns, change_rows, insert_only, upsert
+from ..operators.upsert import add_cdc_columns, change_rows
 from ..schemas import SHOPS
 from ..session import in_parallel, measured, stored
 from ..sources.catalog import Warehouse
@@ -46,28 +46,22 @@ def upsert_table(house: Warehouse, table: str, batch: DataFrame, run_time: datet
         warnings.extend(found)
     if count == 0:
         return 0
-    target = house.read(table) if house.exists(table) else None
+    if house.exists(table):
+        touched = house.touched(table, batch, keys)
+        known = touched[0].drop("_cell")
+    else:
+        touched, known = None, batch.limit(0)
     if track_changes:
-        known = batch.limit(0) if target is None else target
         changes = stored(change_rows(known, batch, keys, table, run_time), "changes")
-    if target is None:
-        merged = batch
-    elif ignore_conflicts:
-        merged = target.unionByName(insert_only(target, batch, keys), allowMissingColumns=True)
+    if touched is None:
+        house.replace(table, batch, keys)
     else:
-        merged = upsert(target, batch, keys)
-    house.replace(table, merged)
+        house.merge(table, batch, keys, ignore_conflicts, touched)
     if track_changes:  # after the switch, and once: the same batch of the same run again adds nothing
-        append_new(house, "lineage.change_tracking", changes, "tracking_id")
+        house.append_once("lineage.change_tracking", changes, "tracking_id", str(run_time), table)
     return count
 
 
-def append_new(house: Warehouse, table: str, rows: DataFrame, key: str) -> None:
-    """Append the rows whose key the table lacks."""
-    known = house.read(table).select(key) if house.exists(table) else None
-    house.append(table, rows if known is None else stored(rows.join(known, key, "left_anti").select(*rows.columns), "new-rows"))
-
-
 def load_rows(house: Warehouse, shop: str, drops: DataFrame, run_time: datetime) -> int:
     """Text rows of a shop's drop files into its raw table: typed, the newest per key, merged."""
     table = f"raw.{shop}"
@@ -126,7 +120,7 @@ def record_files(house: Warehouse, shop: str, per_file: DataFrame, run_time: dat
         F.col("file").alias("source_name"), F.lit("file").alias("source_type"), F.lit("raw").alias("target_schema"),
         F.lit(shop).alias("target_table"), F.lit("load").alias("operation"), F.col("count").alias("record_count"),
         now.alias("execution_time"), "status", F.col("error").alias("error_message"))
-    append_new(house, "lineage.data_lineage", with_lineage_id(runs), "lineage_id")
+    house.append_once("lineage.data_lineage", with_lineage_id(runs), "lineage_id", str(run_time), f"load {shop}")
 
 
 def load_directory(house: Warehouse, data_dir: str, run_time: datetime) -> DataFrame:

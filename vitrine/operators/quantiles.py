@@ -1,59 +1,94 @@
 """Exact quantiles per group without gathering a group in one task.
 
 `percentile` keeps every distinct value of a group in one aggregation buffer, which a source with a third of all
-rows would overflow. Here a histogram on a fixed, monotone scale (partial aggregation, a bounded number of cells
-per group) tells which cells hold the wanted ranks; only the rows of those cells are read again, counted per
-value and ranked.
+rows would overflow. Here values are dealt to cells in their order, by a partial aggregation that keeps a count and
+the smallest and largest value of each cell. Cells that hold a wanted rank and more than `SMALL` rows are dealt anew,
+between their own smallest and largest value, until they are small or hold one value only. A round is one scan for
+all groups and ranks; a cell is narrowed to 1/4096 of its width or less each time, so that doubles need five rounds at
+most and usual data one. Only rows of small cells are ranked, one cell in a window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import stored
+from ..session import measured, stored
 
-# Cells per unit of log1p|x|: neighbouring cells differ by 0.024 % of the value. All doubles span < 6 million.
-CELLS_PER_LOG = 4096
+# First cells per power of two: neighbours differ by 0.27 % of the value. All doubles span about a million.
+CELLS_PER_POWER = 256
+CELLS = 4096
+SMALL = 100_000
 
 
 def _cell(value: Column) -> Column:
     """Order-preserving cell number of a double (each step is monotone, so equal order is kept exactly)."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * CELLS_PER_LOG).cast("bigint")
-
-
-def quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float]) -> DataFrame:
-    """One row per group: the group, `n` (values that are not NULL) and `q0`, `q1`, ... for `probs`, with linear
+    power = F.floor((F.log2(F.abs(value)) + 1100) * CELLS_PER_POWER).cast("bigint")
+    return F.when(value == 0, F.lit(0).cast("bigint")).otherwise(F.signum(value).cast("bigint") * power)
+
+
+def _subcell(value: Column) -> Column:
+    """Number of a value among equal parts of its cell; the smallest and the largest value are in different ones."""
+    return F.least(F.floor((value - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * CELLS), F.lit(CELLS - 1)).cast("bigint")
+
+
+def _holding(cells: DataFrame, *of: str) -> DataFrame:
+    """The cells in which wanted ranks (`_ranks`, counted after `_before` rows) fall, with these ranks."""
+    upto = Window.partitionBy(*of).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = cells.withColumn("_before", F.col("_before") + F.sum("_c").over(upto) - F.col("_c"))
+    inside = F.filter("_ranks", lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c")))
+    return (counted.withColumn("_ranks", inside).filter(F.size("_ranks") > 0)
+            .select("_g", "_n", "_lo", "_hi", "_c", "_before", "_ranks"))
+
+
+def _within(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """The rows in the cells. Cells of a group do not overlap; a few rows per group, broadcast where Spark finds them small."""
+    same = F.col("_g").eqNullSafe(F.col("_wg")) & F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    return rows.join(cells.withColumnRenamed("_g", "_wg"), same).drop("_wg")
+
+
+def ranked(rows: DataFrame, ranks: Column, small: int = SMALL) -> DataFrame:
+    """(_g, _n, _rank, _v): the value at each wanted zero-based rank of each group of `rows` (_g, _v). `ranks` may use `_n`."""
+    measures = (F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    cells = (rows.groupBy("_g", _cell(F.col("_v")).alias("_cell")).agg(*measures)
+             .withColumn("_n", F.sum("_c").over(Window.partitionBy("_g")))
+             .withColumn("_ranks", ranks).withColumn("_before", F.lit(0).cast("bigint")))
+    large = (F.col("_c") > small) & (F.col("_lo") < F.col("_hi"))
+    settled, found = [], _holding(cells, "_g")
+    while True:
+        found, seen = measured(found, "cells", F.count_if(large).alias("open"))
+        settled.append(found.filter(~large))
+        if not seen["open"]:
+            break
+        wide = found.filter(large)
+        inner = (_within(rows, wide.select("_g", "_lo", "_hi")).groupBy("_g", F.col("_lo").alias("_of"), _subcell(F.col("_v")).alias("_cell"))
+                 .agg(*measures))
+        asked = wide.select(F.col("_g").alias("_wg"), F.col("_lo").alias("_wlo"), "_n", "_ranks", "_before")
+        found = _holding(inner.join(asked, F.col("_g").eqNullSafe(F.col("_wg")) & (F.col("_of") == F.col("_wlo"))), "_g", "_of")
+    cells = reduce(DataFrame.union, settled)
+    one = F.col("_lo") == F.col("_hi")
+    single = cells.filter(one).select("_g", "_n", F.explode("_ranks").alias("_rank"), F.col("_lo").alias("_v"))
+    several = cells.filter(~one)
+    inside = Window.partitionBy("_g", "_lo").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = (_within(rows, several.select("_g", "_lo", "_hi")).groupBy("_g", "_lo", "_v").agg(F.count("*").alias("_c"))
+              .withColumn("_upto", F.sum("_c").over(inside)))
+    asked = several.select(F.col("_g").alias("_wg"), F.col("_lo").alias("_wlo"), "_n", "_before", F.explode("_ranks").alias("_rank"))
+    place = F.col("_rank") - F.col("_before")
+    picked = (values.join(asked, F.col("_g").eqNullSafe(F.col("_wg")) & (F.col("_lo") == F.col("_wlo")))
+              .filter((place >= F.col("_upto") - F.col("_c")) & (place < F.col("_upto"))))
+    return single.union(picked.select("_g", "_n", "_rank", "_v"))
+
+
+def quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float], small: int = SMALL) -> DataFrame:
+    """One row per group: the group, `n` (values that are numbers) and `q0`, `q1`, ... for `probs`, with linear
     interpolation between ranks."""
-    rows = df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    rows = rows.withColumn("_cell", _cell(F.col("_v")))
-
-    upto = Window.partitionBy("_g").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("_g")
-    cells = (rows.groupBy("_g", "_cell").agg(F.count("*").alias("_c"))
-             .withColumn("_upto", F.sum("_c").over(upto))
-             .withColumn("_n", F.sum("_c").over(whole)))
-
+    rows = df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
     # Zero-based ranks wanted: the two neighbours of each quantile's position.
     places = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in places])))
-    hits = F.filter(F.col("_ranks"), lambda r: (r >= F.col("_upto") - F.col("_c")) & (r < F.col("_upto")))
-    # A few rows per group; the written table's size decides whether the join below broadcasts it.
-    wanted = stored(cells.withColumn("_ranks", ranks).withColumn("_ranks", hits).filter(F.size("_ranks") > 0)
-                    .select("_g", "_cell", "_ranks", "_n", (F.col("_upto") - F.col("_c")).alias("_before")), "ranks")
-
-    inside = Window.partitionBy("_g", "_cell").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    found = (rows.join(wanted.select(F.col("_g").alias("_wg"), F.col("_cell").alias("_wc")),
-                       F.col("_g").eqNullSafe(F.col("_wg")) & (F.col("_cell") == F.col("_wc")), "left_semi")
-             .groupBy("_g", "_cell", "_v").agg(F.count("*").alias("_c"))
-             .withColumn("_last", F.sum("_c").over(inside)))
-    picked = (found.join(wanted.withColumnsRenamed({"_g": "_wg", "_cell": "_wc"}),
-                         F.col("_g").eqNullSafe(F.col("_wg")) & (F.col("_cell") == F.col("_wc")))
-              .withColumn("_rank", F.explode("_ranks"))
-              .filter((F.col("_rank") >= F.col("_before") + F.col("_last") - F.col("_c"))
-                      & (F.col("_rank") < F.col("_before") + F.col("_last"))))
+    picked = ranked(rows, ranks, small)
 
     def at(rank: Column) -> Column:
         return F.max(F.when(F.col("_rank") == rank, F.col("_v")))

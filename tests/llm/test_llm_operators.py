@@ -549,3 +549,11 @@ def test_pipeline_stages(spark, tmp_path):
     assert 300 not in ids[2] and ids[2] >= {i for i, _ in rows} and 400 in ids[2] and 400 not in ids[3] and ids[3] >= {i for i, _ in rows}
     assert ids[4] <= ids[3] and corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality_classifier" and isinstance(kept.schema["doc_id"].dataType, T.LongType)
+
+
+def test_mixing_draws_different_texts_of_one_id_apart(spark):
+    """One id on a third of the rows: its source meets its target as any other."""
+    rows = [(7 if n % 3 == 0 else n, f"{prose(5, n)}") for n in range(6000)]
+    table = documents(spark, rows).withColumn("source", F.when(F.col("doc_id") == 7, "b").otherwise("a"))
+    taken = mixing.plan(table).groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("taken"), F.first("target").alias("target")).collect()
+    assert all(abs(r.taken - r.target) < 0.06 * r.target for r in taken) and len(taken) == 2

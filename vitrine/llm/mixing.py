@@ -8,7 +8,7 @@ The corpus is reduced to one row per source; the shares are windows over those r
 broadcast where Spark finds the table of sources small enough, and splits a hot source otherwise.
 
 Defined results: a null text has size 0; a null source is a source of its own, the last; a source of size 0 has target
-0 and rate 0; null and repeated ids are drawn by id and text, so repeated rows share one draw. Other columns pass
+0 and rate 0; every row is drawn by id and text, so repeated rows share one draw and different texts under one id do not. Other columns pass
 through `mix`. An empty table gives an empty result.
 """
 
@@ -47,8 +47,8 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def draw(doc_id: str, text: str, seed: str) -> Column:
-    """A number in [0, 1) from 52 bits of an MD5."""
-    value = F.concat_ws("|", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("null "), F.md5(F.coalesce(F.col(text), F.lit(""))))))
+    """A number in [0, 1) from 52 bits of an MD5 of id and text: different texts under one id are drawn apart."""
+    value = F.concat_ws("|", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.md5(F.coalesce(F.col(text), F.lit(""))))
     return F.conv(F.substring(F.md5(value), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 

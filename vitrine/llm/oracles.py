@@ -32,7 +32,7 @@ from docs d left join n_hit h using (doc_id) left join n_items i using (doc_id)
 _MIX = r"""
 with recursive docs as (
   select *, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
-    cast(('0x' || substr(md5('mix-1|' || coalesce(cast(doc_id as varchar), 'null ' || md5(coalesce(text, '')))), 1, 13)) as bigint)
+    cast(('0x' || substr(md5('mix-1|' || coalesce(cast(doc_id as varchar), 'null') || '|' || md5(coalesce(text, ''))), 1, 13)) as bigint)
       / 4503599627370496.0::double as draw
   from documents),
 sources as (select source, cast(sum(size) as bigint) as source_size from docs group by source),

@@ -45,7 +45,7 @@ STRETCH = re.compile(rf"(?:[ \n]\s*+)?(?:[^\w\s]|[\d_²³¹]|[^\S \n]\s*+|{LETTE
 #: Pairs of ids sent to all tasks, at most; 17 bytes each.
 FREQUENT = 1_000_000
 #: What a task remembers of stretches, in stretches and in their characters.
-KNOWN, KNOWN_CHARS = 250_000, 4_000_000
+KNOWN, KNOWN_CHARS = 200_000, 4_000_000
 #: Links looked at together.
 LINKS_AT_ONCE = 1 << 18
 SPACE = "▁"
@@ -90,6 +90,7 @@ class Aligner:
         prefixed = json.loads(self.a.to_str())["pre_tokenizer"] or {}
         self.local = (prefixed.get("type") == "ByteLevel" and not prefixed.get("add_prefix_space") and self.gap is not None
                       and not any("\n" in p or re.search(rf"[^{SPACE}]{SPACE}|{LETTER}[{MARKS}]", p) for p in names))
+        self.kind = np.int32 if len(self.a_bytes) * self.width < 1 << 31 else np.int64
         self.cleared = 0
         self.clear()
 
@@ -97,7 +98,7 @@ class Aligner:
         self.known: dict[str, int] = {}
         self.cleared, self.chars, self.groups = self.cleared + 1, 0, []
         #: Per stretch: tokens of both sides, groups and links (the first -1 where bytes differ); the links of all in a row.
-        self.sizes, self.links = np.empty((0, 4), np.int64), np.empty(0, np.int64)
+        self.sizes, self.links = np.empty((0, 4), np.int64), np.empty(0, self.kind)
 
     def stretches(self, text: str) -> list[str]:
         return [s for s in STRETCH.findall(" " + text) if s] if self.local else [" " + text]
@@ -173,11 +174,11 @@ class Aligner:
         self.known.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
         self.groups += ["".join(numerals[i:j]) for i, j in zip(of, of[1:])]
         self.sizes = np.concatenate([self.sizes, np.stack([n_a, n_b, n_groups, n_links], axis=1)])
-        self.links = np.append(self.links, links)
+        self.links = np.append(self.links, links.astype(self.kind))
 
     def batches(self, texts: pa.Array) -> Iterator[tuple[slice, list[np.ndarray]]]:
         """Slices of a column of texts, with the stretch numbers of each text; none where a text has no tokens."""
-        for part in in_chunks(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 1 << 21):
+        for part in in_chunks(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 1 << 20):
             found = self.ids([self.stretches(t) if (t := x.as_py()) else [] for x in texts[part.start:part.stop]])
             sound = self.sizes[:, 0] >= 0
             yield part, [own if len(own) and sound[own].all() else own[:0] for own in found]
@@ -208,8 +209,8 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_bp
                     [batch.column(0)[part.start:part.stop], *(pa.array(x) for x in np.diff(totals, axis=0).T.copy()), pa.array(texts, pa.string()), lists],
                     names=["doc_id", *NUMBERS[:4], label, "links"])
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in NUMBERS[:4])}, {label} string, links array<long>")
+    kind, number = rows.schema["doc_id"].dataType.simpleString(), "int" if Aligner(byte_bpe, piece_bpe).kind is np.int32 else "long"
+    return rows.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in NUMBERS[:4])}, {label} string, links array<{number}>")
 
 
 def _link_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -251,7 +252,7 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_bpe:
         pair, n, best = shared.value
         for batch in (own for b in batches for own in _link_slices(b)):
             lists = batch.column("links")
-            links, cut = np.asarray(lists.flatten()), np.append(0, np.cumsum(np.asarray(pc.list_value_length(lists))))
+            links, cut = np.asarray(lists.flatten()).astype(np.int64), np.append(0, np.cumsum(np.asarray(pc.list_value_length(lists))))
             at = np.minimum(np.searchsorted(pair, links), max(len(pair) - 1, 0))
             hit = pair[at] == links if len(pair) else np.zeros(len(links), bool)
             of = np.repeat(np.arange(len(cut) - 1), np.diff(cut))

@@ -162,6 +162,23 @@ def places(rows, normal):
     return found
 
 
+def naive_parts(text, passage=51, piece=25):
+    """(first word, words) of the parts of a text, one window at a time."""
+    words = [w.decode() for w in (text or "").encode().lower().split()]
+    shingles = [xxhash.xxh64_intdigest(" ".join(words[i:i + 5]).encode(), 42) for i in range(len(words) - 4)]
+    window, found, at = passage - piece + 1, set(), 0
+    for i in range(len(shingles) - window + 1):
+        least = min(range(i, i + window), key=lambda k: (shingles[k], k))
+        if least + piece <= len(words):
+            found.add((least, piece))
+    for line in (text or "").split("\n"):
+        n = len(line.encode().split())
+        if n >= passage:
+            found.add((at, n))
+        at += n
+    return {(no, tuple(words[no:no + n])) for no, n in found}
+
+
 def test_paragraphs_agree_with_brute_force(spark, docs):
     near = [prose(70, 50)]
     for k in range(60):
@@ -169,27 +186,50 @@ def test_paragraphs_agree_with_brute_force(spark, docs):
         words[(k * 7) % 70] = f"other{k}"
         near.append(" ".join(words))
     rows = [(r.doc_id, r.text) for r in docs.collect()] + [(10_000 + k, f"own {k} words here now\n{p}") for k, p in enumerate(near)]
-    at = places(rows, lambda p: " ".join(w) if len(w := p.encode().lower().decode().split(" ") if False else [x.decode() for x in p.encode().lower().split()]) >= 5 else "")
-    forms = sorted(at)
-    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, forms)]
+    members = defaultdict(set)
+    for i, text in rows:
+        for no, words in naive_parts(text):
+            members[words].add((i, no, len(words)))
+    forms = sorted(members)
+    sets = [{f[i:i + 5] for i in range(len(f) - 4)} for f in forms]
     holds = defaultdict(set)
     for i, s in enumerate(sets):
         for x in s:
             holds[x].add(i)
     pairs = [(i, j) for i, s in enumerate(sets) for j in set().union(*(holds[x] for x in s)) if j > i and len(s & sets[j]) >= .8 * len(s | sets[j])]
     first = union_find(range(len(forms)), pairs)
-    members = defaultdict(list)
+    group = defaultdict(set)
     for i, f in enumerate(forms):
-        members[first[i]] += at[f]
-    want = {(d, n, *min(m)) for m in members.values() if len(m) > 1 for d, n in m}
-    got = {(r.doc_id, r.paragraph, r.kept_doc_id, r.kept_paragraph) for r in paragraph_dedup.removals(documents(spark, rows)).collect()}
-    assert len(pairs) > 100 and got == want
+        group[first[i]] |= members[f]
+    want = {(d, no, n, min(m)[0], min(m)[1]) for m in group.values() for d, no, n in m if d != min(m)[0]}
+    found = paragraph_dedup.removals(documents(spark, rows), recall=1 - 1e-9).drop("text_key")
+    assert len(pairs) > 100 and {tuple(r) for r in found.collect()} == want
 
 
-def test_paragraphs_in_blocks(spark, monkeypatch):
+def test_passages_inside_paragraphs(spark):
+    """Passages of 51 words in different surroundings, over lines, too; what one document repeats, and clean ones, stay."""
+    shared = [prose(51, 7000 + k) for k in range(40)]
+    rows = [(k, f"{prose(20 + k, k)} {shared[k]} {prose(90 - k, 100 + k)}") for k in range(40)]
+    rows += [(100 + k, f"{prose(33, 200 + k)}\n{prose(9 + k, 300 + k)} {shared[k].replace(' ', chr(10), 3 * (k % 2))} {prose(60, 400 + k)}") for k in range(40)]
+    clean = [(200 + k, f"{prose(300, 500 + k)} {prose(20, 600)}") for k in range(40)] + [(300, "\n".join([prose(80, 900)] * 3))]
+    found = paragraph_dedup.removals(documents(spark, rows + clean)).collect()
+    assert {r.doc_id for r in found} == set(range(100, 140)) and all(r.kept_doc_id == r.doc_id - 100 for r in found)
+    left = {r.doc_id: r.left for r in paragraph_dedup.dedup(documents(spark, rows + clean)).select("row.doc_id", "left").collect()}
+    assert all(left[i] == t for i, t in rows[:40] + clean) and all(len(left[i].split()) <= len(t.split()) - 25 for i, t in rows[40:])
+
+
+def test_cut():
+    text = "a b c d\ne f g\nh i"
+    assert paragraph_dedup.cut(text, [(1, 2), (2, 1)]) == "a d\ne f g\nh i" and paragraph_dedup.cut(text, [(4, 3)]) == "a b c d\nh i"
+    assert paragraph_dedup.cut(text, [(2, 3), (4, 2)]) == "a b g\nh i" and paragraph_dedup.cut(text, []) == text
+    assert paragraph_dedup.cut(text, [(0, 9)]) == ""
+
+
+def test_paragraphs_in_blocks(spark):
     rows = [(k, prose(70, 50).replace(" ", f" w{k} ", 1)) for k in range(90)]
-    found, kept = paragraph_dedup.groups(documents(spark, rows), block=8)
-    assert {tuple(r.keeper) [0] for r in kept.collect()} == {0} and kept.count() == 90 and found.count() == 90
+    table = documents(spark, rows)
+    small, whole = ({tuple(r) for r in paragraph_dedup.removals(table, block=block).collect()} for block in (8, 256))
+    assert small == whole and {r[0] for r in small} == set(range(1, 90)) and all(r[4] < r[0] for r in small)
 
 
 def test_lines_agree_with_brute_force(spark, docs):
@@ -507,7 +547,7 @@ def test_odd_documents(spark):
     n = table.count()
     assert decontaminate.report(table, bench).count() == n and simhash.groups(table).count() == n and mixing.plan(table).count() == n
     assert quality.rate(table, quality.train(table, labels)).count() == n and line_dedup.dedup(table).count() == n
-    assert paragraph_dedup.removals(table).filter("not kept").count() > 0 and paragraph_dedup.dedup(table).count() == n
+    assert paragraph_dedup.removals(table).count() > 0 and paragraph_dedup.dedup(table).count() == n
     assert secret_scan.scan(table).count() >= 0
     for out in (quality.select(table, labels), simhash.keep_one(table), decontaminate.decontaminate(table, bench), mixing.mix(table),
                 decontaminate.decontaminate(table, bench, remove="spans")):

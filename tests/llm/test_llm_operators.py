@@ -169,7 +169,7 @@ def naive_parts(text, passage=51, piece=25):
     window, found, at = passage - piece + 1, set(), 0
     for i in range(len(shingles) - window + 1):
         least = min(range(i, i + window), key=lambda k: (shingles[k], k))
-        if least + piece <= len(words):
+        if least + piece <= len(words) and shingles[least] not in shingles[max(least - window + 1, 0):least]:
             found.add((least, piece))
     for line in (text or "").split("\n"):
         n = len(line.encode().split())
@@ -202,7 +202,7 @@ def test_paragraphs_agree_with_brute_force(spark, docs):
     for i, f in enumerate(forms):
         group[first[i]] |= members[f]
     want = {(d, no, n, min(m)[0], min(m)[1]) for m in group.values() for d, no, n in m if d != min(m)[0]}
-    found = paragraph_dedup.removals(documents(spark, rows), recall=1 - 1e-9).drop("text_key")
+    found = paragraph_dedup.removals(documents(spark, rows), recall=1 - 1e-9, piece_recall=1 - 1e-9).drop("text_key")
     assert len(pairs) > 100 and {tuple(r) for r in found.collect()} == want
 
 

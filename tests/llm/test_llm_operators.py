@@ -4,7 +4,7 @@ import base64
 import hashlib
 import json
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -291,6 +291,27 @@ def test_lines_by_edit_similarity_alone(spark, docs):
     assert len(set(heads.values())) >= len({first[i] for i, f in enumerate(forms) if at[f][0] in heads})
 
 
+def test_each_pair_of_lines_is_looked_at_however_keys_are_dealt(spark):
+    """Small keys, large ones, keys beyond `most` and hot keys give the same groups, nearly all that brute force gives."""
+    base, rng = prose(24, 60).split(), random.Random(5)
+    rows = [(k, "\n".join(" ".join(rng.choice(VOCABULARY) if rng.random() < .06 else w for w in base) for _ in range(3))) for k in range(50)]
+    rows += [(100 + k, f"{prose(7, 300 + k // 2)}{k % 2}\n\n{'word ' * 3}{'abcdefghij'[k % 10]}") for k in range(40)]
+    table = documents(spark, rows)
+    keys = [r.key for r in line_dedup.sections(table).select("key").distinct().collect()]
+    results = []
+    for hot, direct, most, block in (([], 16, 1024, 512), ([], 2, 1024, 16), ([], 2, 16, 512), (keys, 16, 64, 16), (keys[::2], 3, 32, 512)):
+        found = line_dedup.candidates(line_dedup.sections(table, hot=hot), .8, direct, most)
+        distinct = line_dedup.distinct_parts(line_dedup.lines(table, prints=False))
+        links = line_dedup.edit_links(table, distinct, "doc_id", "text", .8, block, found)
+        results.append({(bytes(r.node), bytes(r.root)) for r in common.connected(links).collect()})
+    groups = [frozenset(frozenset(n for n, r in found if r == root) for _, root in found) for found in results]
+    assert len(set(groups)) == 1 and max(map(len, groups[0])) > 100
+    forms = sorted({line_dedup.normal_form(line) for _, text in rows for line in text.split("\n")} - {""})
+    pairs = [(i, j) for i in range(len(forms)) for j in range(i + 1, len(forms)) if line_dedup.similar(forms[i], forms[j], .8)]
+    first = union_find(range(len(forms)), pairs)
+    assert max(map(len, groups[0])) >= .98 * max(Counter(first.values()).values())
+
+
 def test_edit_distance_against_the_table():
     rng = random.Random(3)
     for _ in range(300):
@@ -301,6 +322,9 @@ def test_edit_distance_against_the_table():
             for j, y in enumerate(b):
                 last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
         assert line_dedup.edit_distance(a, b) == row[-1], (a, b)
+        for most in (0, 1, 2.6, 5):
+            got = line_dedup.edit_distance(a, b, most)
+            assert got == row[-1] if row[-1] <= most else most < got <= row[-1], (a, b, most)
 
 
 # 5. Embeddings.

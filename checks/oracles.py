@@ -614,8 +614,49 @@ _add("health_summary", _HEALTH + """select p as passed, t as total, case when p
   when p >= t * 0.8 then 'degraded' else 'unhealthy' end as status
 from (select count(*) filter (passed) as p, count(*) as t from results)""")
 
+_any = [(f"staging.stg_{s}", f"stg_{s}", 24, 100) for s in SHOPS] + [("marts.dim_products", "dim_products", 100000, 10000000)]
+_any = "\nunion all ".join(f"""select unnest(['exists', 'not_empty', 'freshness', 'min_rows']) as k, '{t}' as t, n, h,
+  {hours} as most, {least} as least from (select count(*) as n,
+    cast(epoch_us(timestamp '2002-01-01') - epoch_us(max(scraped_at)) as double) / 3600000000 as h from {source})"""
+                           for t, source, hours, least in _any)
+_add("health_of_any_table", _with(PRODUCTS, BOOKS, _STAGED, f"\nfacts_any as ({_any})", """
+results as (
+  select replace(t, '.', '_') || '_' || k as "check", case k when 'exists' then true when 'not_empty' then n > 0
+      when 'freshness' then coalesce(h <= most, false) else n >= least end as passed,
+    case k when 'not_empty' then 'Tabela ' || t || ' esta vazia'
+      when 'freshness' then coalesce('Dados de ' || t || ' estao ' || format('{:.1f}', h) || 'h atrasados (max: ' || most || 'h)',
+        'Tabela ' || t || ' sem dados de scraped_at')
+      else 'Tabela ' || t || ' tem apenas ' || n || ' linhas (minimo: ' || least || ')' end as message from facts_any
+  union all select unnest(['stg_books_exists', 'stg_books_not_empty', 'stg_books_unique_id']), unnest([true, n > 0, d = 0]),
+    unnest(['', 'Tabela staging.stg_books esta vazia', 'Tabela staging.stg_books tem ' || d || ' duplicatas em product_id'])
+  from (select coalesce(sum(c), 0) as n, count(*) filter (c > 1) as d from (select count(*) as c from stg_books group by product_id)))""")
+     + """select "check", passed, case when not passed then message end as message from results""")
+
+_STAGES = [_row("extract", f"extract_notempty_{s}", f"select count(*) as n from newest where source = '{s}'", "> 0",
+                f"'raw.{s} (' || n || ' registros)'") for s in SHOPS]
+# The loaded table `raw.amazon` has one column less than the rows the suite above reads.
+_STAGES += [_columns("extract", "cdc", s).replace("raw.amazon: 14", "raw.amazon: 13") for s in SHOPS]
+_STAGES += [_row("transform", "transform_rowcount_stg_books", "select count(*) as n from newest where source = 'books'", ">= 0",
+                 "'staging.stg_books tem ' || n || ' registros (minimo: 0)'"),
+            _row("transform", "transform_dedup_stg_books_product_id", "select count(*) as n from (select product_id from newest "
+                 "where source = 'books' group by product_id having count(*) > 1)", "= 0",
+                 "'staging.stg_books: ' || n || ' duplicatas em product_id'")]
+_STAGES += [_row("transform", f"transform_null_stg_books_{c}", f"select count(*) as n from newest where source = 'books' and {c} is null",
+                 "= 0", f"'staging.stg_books.{c}: ' || n || ' nulos'") for c in ("product_id", "name")]
+for _table, _key_name, _text, _of in (("dim_books", "book_id", "book_name", "="), ("dim_products", "id", "product_name", "<>")):
+    _STAGES += [_row("load", f"load_unique_{_table}_{_key_name}", f"select coalesce(sum(c), 0) as n from (select count(*) as c from newest "
+                     f"where source {_of} 'books' group by product_id, source having count(*) > 1)", "= 0",
+                     f"'marts.{_table}.{_key_name}: ' || n || ' duplicatas'"),
+                _row("load", f"load_notnull_{_table}_{_text}", f"select count(*) as n from newest where source {_of} 'books' and name is null",
+                     "= 0", f"'marts.{_table}.{_text}: ' || n || ' nulos'")]
+_STAGES += [_row("load", "load_rowcount_dim_books", "select count(*) as n from newest where source = 'books'", ">= 0",
+                 "'marts.dim_books tem ' || n || ' registros (minimo: 0)'"),
+            "select 'load' as stage, 'lineage_exists' as test, 'PASS' as status, null as message"]
+_add("stage_check_rows", _with(_NEWEST_DROP) + "\nunion all ".join(_STAGES))
+
 # Streams.
 
+_add("stream_all_shops", _with(_NEWEST_DROP) + "select product_id, name, price, source, scraped_at from newest")
 _add("stream_daily_volume", """select date_trunc('day', ts) as scraped_date, event_type as source, count(*) as count
 from events group by all""")
 _add("stream_first_seen", """select distinct cast(user_id as varchar) as product_id, event_type as source from events""")

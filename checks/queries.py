@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -664,6 +665,18 @@ def daily_run_products(spark, sf):
         "source", "price_tier", "scraped_at")
 
 
+@query
+def stage_check_rows(spark, sf):
+    """What the daily run records after loading, transforming and publishing. How many files were loaded, and so the text of
+    the lineage check, depends on the cores that wrote them."""
+    house = _house(spark)
+    newest = td.drop_items(spark, sf).agg(F.max("scraped_at")).first()[0]
+    run_time = datetime.strptime(newest[:19], "%Y-%m-%d %H:%M:%S") + timedelta(hours=1)
+    daily.daily_run(house, _write_drops(spark, sf), run_time)
+    return house.read("lineage.stage_checks").select(
+        "stage", "test", "status", F.when(F.col("test") != "lineage_exists", F.col("message")).alias("message"))
+
+
 # Checks.
 
 def _tables(spark, sf):
@@ -766,6 +779,16 @@ def health_alerts(spark, sf):
     return health.alerts(_health(spark, sf), AS_OF)
 
 
+@query
+def health_of_any_table(spark, sf):
+    """Freshness, size and key of staging and mart tables, by limits of their own."""
+    tables = _tables(spark, sf)
+    parts = [health.table_checks(spark, f"staging.stg_{s}", tables[f"staging.stg_{s}"], AS_OF, 24, 100) for s in SHOPS]
+    parts.append(health.table_checks(spark, "marts.dim_products", tables["marts.dim_products"], AS_OF, 100_000, 10_000_000))
+    parts.append(health.mart_checks(spark, "stg_books", "product_id", tables["staging.stg_books"], "staging"))
+    return reduce(DataFrame.unionByName, parts).select("check", "passed", "message")
+
+
 @query
 def health_summary(spark, sf):
     return health.summary(_health(spark, sf))
@@ -798,6 +821,18 @@ def stream_first_seen(spark, sf):
     return spark.read.schema("product_id string, source string").parquet(out)
 
 
+@query
+def stream_all_shops(spark, sf):
+    """New drop files of all four shops, JSON lines and Parquet, merged into raw tables by one stream a shop."""
+    house, path = _house(spark), _write_drops(spark, sf)
+    state = scratch_path(spark, "shops-state")
+    running = [drops.load_new_files(house, s, f"{path}/{s}/*", f"{state}/{s}", td.RUN_TIME) for s in SHOPS]
+    for stream in running:
+        stream.awaitTermination()
+    columns = ("product_id", "name", F.col("price").cast("double").alias("price"), "source", "scraped_at")
+    return reduce(DataFrame.unionByName, [house.read(f"raw.{s}").select(*columns) for s in SHOPS])
+
+
 @query
 def stream_raw_load(spark, sf):
     """New drop files merged into a raw table by a stream."""

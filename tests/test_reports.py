@@ -115,6 +115,26 @@ def test_checks_share_one_scan_per_table(spark):
     assert plan.count("count_if") + plan.count("Aggregate") < 12
 
 
+def test_key_checks_share_the_scan(spark):
+    """Several keys and row checks of a table: one scan, one exchange of groups; NULLs as each kind has them."""
+    schema = "a int, b string, p double"
+    df = spark.createDataFrame([(1, "x", -1.0), (1, "x", 2.0), (None, "y", 3.0), (None, "y", 4.0), (2, None, 5.0)], schema)
+    c = quality.Check
+    checks = [c("load", "key", "t", columns=("a", "b")), c("load", "unique", "t", "a"), c("load", "duplicates", "t", "a"),
+              c("load", "unique", "t", "b", test="b"), c("load", "key", "t", columns=("b", "a"), test="again"),
+              c("load", "not_null", "t", "a"), c("load", "positive", "t", "p"), c("load", "rows", "t")]
+
+    def counts(frame):
+        return {r.test: int("".join(ch for ch in r.message.split("(")[0] if ch.isdigit())) for r in quality.run_checks(spark, checks, {"t": frame}.get).collect()}
+    assert counts(df) == {"key_t": 1, "load_unique_t_a": 4, "transform_dedup_t_a": 2, "b": 4, "again": 1, "load_notnull_t_a": 2,
+                          "positive_t_p": 1, "load_rowcount_t": 5}
+    assert set(counts(spark.createDataFrame([], schema)).values()) == {0}
+    for column in ("a", "b"):
+        assert counts(df)["load_unique_t_a" if column == "a" else "b"] == quality.duplicate_keys(df, column).first().n_rows
+    plan = quality.run_checks(spark, checks, {"t": df}.get)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
 def test_definition_checks(spark):
     orders = spark.createDataFrame([(1, 1, "x" * 51), (1, 9, "ok"), (None, None, None), (None, 1, None)],
                                    "order_id bigint, customer_id bigint, status string")

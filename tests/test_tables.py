@@ -225,6 +225,12 @@ def test_daily_run(spark, house, tmp_path):
     assert out["transform"]["staging"] == {f"stg_{s}": 12 for s in SHOPS} and out["transform"]["warnings"] == []
     found = house.read("report.dim_products").filter("id = '0_americanas'").first()
     assert (found.price, found.original_price, found.discount_percentage, found.price_tier) == (50.0, 500.0, 90.0, "Economico")
+    stages = house.read("lineage.stage_checks")
+    assert rows(stages.groupBy("stage", "status").count()) == [("extract", "PASS", 8), ("load", "PASS", 6), ("transform", "PASS", 4)]
+    daily.stage_checks(house, "load", RUN)  # a repeat of the run's stage adds nothing
+    assert house.read("lineage.stage_checks").count() == 18
+    with pytest.raises(ValueError):
+        quality.stage_suite("publish")
     report = spark.read.json(str(tmp_path / "health")).first()
     assert (report.status, report.passed, report.total, len(report.checks), report.alerts) == ("healthy", 22, 22, 22, [])
     assert rows(quality.pass_count(house.read("report.quality_results"))) == [(29, 29, True)]
@@ -282,6 +288,16 @@ def test_sales_tables(spark, house):
     assert house.count("marts.fact_orders") == 3
 
 
+def test_health_of_other_tables(spark):
+    df = spark.createDataFrame([(1, RUN - timedelta(hours=30)), (1, None)], "k int, seen timestamp")
+    found = {r.check: r.message for r in health.table_checks(spark, "staging.t", df, RUN, 24, 3, "seen").collect() if not r.passed}
+    assert found == {"staging_t_freshness": "Dados de staging.t estao 30.0h atrasados (max: 24h)",
+                     "staging_t_min_rows": "Tabela staging.t tem apenas 2 linhas (minimo: 3)"}
+    twice = health.mart_checks(spark, "t", "k", df, "staging").filter("not passed").first()
+    assert (twice.check, twice.message) == ("t_unique_id", "Tabela staging.t tem 1 duplicatas em k")
+    assert [r.passed for r in health.table_checks(spark, "staging.gone", None, RUN).collect()] == [False] * 4
+
+
 def test_health_details(spark):
     df = spark.createDataFrame([(RUN - timedelta(hours=72),)] * 3, "scraped_at timestamp")
     found = {r.check: (r.passed, r.message) for r in health.raw_checks(spark, "books", df, RUN).collect()}

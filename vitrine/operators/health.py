@@ -43,15 +43,14 @@ def _gone(spark: SparkSession, table: str, checks: list[str]) -> DataFrame:
     return spark.createDataFrame([(c, False, "WARNING", MISSING.format(t=table)) for c in checks], HEALTH_CHECK)
 
 
-def raw_checks(spark: SparkSession, shop: str, df: DataFrame | None, as_of: datetime,
-               max_hours: float = RAW_MAX_HOURS, min_rows: int = RAW_MIN_ROWS) -> DataFrame:
-    """Existence, rows, freshness and minimum size of a raw table in one scan."""
-    table, prefix = f"raw.{shop}", f"raw_{shop}"
-    names = [f"{prefix}_{c}" for c in ("exists", "not_empty", "freshness", "min_rows")]
+def table_checks(spark: SparkSession, table: str, df: DataFrame | None, as_of: datetime,
+                 max_hours: float = RAW_MAX_HOURS, min_rows: int = RAW_MIN_ROWS, time: str = "scraped_at") -> DataFrame:
+    """Existence, rows, freshness and minimum size of any table in one scan; one without the time column is fresh."""
+    names = [f"{table.replace('.', '_')}_{c}" for c in ("exists", "not_empty", "freshness", "min_rows")]
     if df is None:
         return _gone(spark, table, names)
-    timed = "scraped_at" in df.columns
-    last = F.max("scraped_at") if timed else F.lit(None).cast("timestamp")
+    timed = time in df.columns
+    last = F.max(time) if timed else F.lit(None).cast("timestamp")
     n, hours = F.col("n"), _hours(F.col("last"), as_of)
     fresh = F.coalesce(hours <= max_hours, F.lit(False)) if timed else F.lit(True)
     stale = F.when(F.col("last").isNull(), NO_TIME.format(t=table)).otherwise(
@@ -62,9 +61,14 @@ def raw_checks(spark: SparkSession, shop: str, df: DataFrame | None, as_of: date
         _row(names[3], n >= min_rows, F.format_string(FEW.format(t=table, m=min_rows), n)))))
 
 
-def mart_checks(spark: SparkSession, table: str, key: str, df: DataFrame | None) -> DataFrame:
-    """Existence, rows and unique key of a mart; the key counts also give the row count."""
-    full, names = f"marts.{table}", [f"{table}_{c}" for c in ("exists", "not_empty", "unique_id")]
+def raw_checks(spark: SparkSession, shop: str, df: DataFrame | None, as_of: datetime,
+               max_hours: float = RAW_MAX_HOURS, min_rows: int = RAW_MIN_ROWS) -> DataFrame:
+    return table_checks(spark, f"raw.{shop}", df, as_of, max_hours, min_rows)
+
+
+def mart_checks(spark: SparkSession, table: str, key: str, df: DataFrame | None, schema: str = "marts") -> DataFrame:
+    """Existence, rows and unique key of a table; the key counts also give the row count."""
+    full, names = f"{schema}.{table}", [f"{table}_{c}" for c in ("exists", "not_empty", "unique_id")]
     if df is None:
         return _gone(spark, full, names)
     keys = df.groupBy(key).count().agg(

@@ -1,7 +1,8 @@
 """Data checks: specifications in, one result row (stage, test, status, message) per check out.
 
-All checks of a table that look at single rows share one aggregation over one scan. Key checks count groups after
-a partial aggregation, so a hot key costs one row per task.
+All checks of a table share one scan and one shuffle: keys are counted by grouping sets, of which the empty one takes the
+checks of single rows. Groups are counted after a partial aggregation, so a hot key costs one row per task. Only
+references are joined apart.
 """
 
 from __future__ import annotations
@@ -109,6 +110,39 @@ def _result(k: Check, n: Column) -> Column:
         F.format_string(_fill(MESSAGES[k.kind], k), n).alias("message"))
 
 
+#: Kinds that count keys: whether a key with a NULL is one, and what is counted of the repeated keys.
+KEY_KINDS = {"duplicates": (True, "1"), "unique": (True, "_n"), "key": (False, "1")}
+
+
+def _key(k: Check) -> tuple[str, ...]:
+    return tuple(dict.fromkeys(k.columns if k.kind == "key" else (k.column,)))
+
+
+def _counted(df: DataFrame, scans: list[Check], keyed: list[Check]) -> DataFrame:
+    """One row with the count of every check, `c0`, `c1` and so on: first those of `scans`, then those of `keyed`."""
+    counts = [KINDS[k.kind](k).alias(f"c{i}") for i, k in enumerate(scans)]
+    if not keyed:
+        return df.agg(*counts)
+    columns = list(dict.fromkeys(c for k in keyed for c in _key(k)))
+    renamed = df.withColumns({f"_k{i}": F.col(c) for i, c in enumerate(columns)})  # the checks still see every value
+    names = {c: f"_k{i}" for i, c in enumerate(columns)}
+    sets = [*([[]] if scans else []), *dict.fromkeys(tuple(sorted(names[c] for c in _key(k))) for k in keyed)]
+    groups = renamed.groupingSets([list(s) for s in sets], *names.values()).agg(
+        F.grouping_id(*names.values()).alias("_set"), F.count("*").alias("_n"), *counts)
+
+    def number(own: set[str]) -> int:  # a bit per column that is not in the set, the first column's highest
+        return sum(1 << (len(columns) - 1 - i) for i in range(len(columns)) if f"_k{i}" not in own)
+    rows = [F.coalesce(F.max(F.when(F.col("_set") == number(set()), F.col(f"c{i}"))), F.lit(0)).alias(f"c{i}") for i in range(len(scans))]
+    for i, k in enumerate(keyed, len(scans)):
+        own = {names[c] for c in _key(k)}
+        with_nulls, what = KEY_KINDS[k.kind]
+        twice = (F.col("_set") == number(own)) & (F.col("_n") > 1)
+        for name in () if with_nulls else sorted(own):
+            twice &= F.col(name).isNotNull()
+        rows.append(F.coalesce(F.sum(F.when(twice, F.expr(what))), F.lit(0)).alias(f"c{i}"))
+    return groups.agg(*rows)
+
+
 def _column_rows(spark: SparkSession, checks: list[Check], tables: dict[str, DataFrame | None]) -> DataFrame:
     rows = []
     for k in checks:
@@ -137,18 +171,12 @@ def run_checks(spark: SparkSession, checks: list[Check], resolve: Callable[[str]
     for table, df in tables.items():
         mine = [k for k in checks if k.table == table and k not in by_schema]
         scans = [k for k in mine if k.kind in KINDS]
-        if scans:
-            counted = df.agg(*[KINDS[k.kind](k).alias(f"c{i}") for i, k in enumerate(scans)])
-            parts.append(counted.select(F.inline(F.array(*[_result(k, F.col(f"c{i}")) for i, k in enumerate(scans)]))))
+        keyed = [k for k in mine if k.kind in KEY_KINDS]
+        if scans or keyed:
+            counted = _counted(df, scans, keyed)
+            parts.append(counted.select(F.inline(F.array(*[_result(k, F.col(f"c{i}")) for i, k in enumerate(scans + keyed)]))))
         for k in mine:
-            if k.kind == "duplicates":
-                parts.append(duplicate_keys(df, k.column).select(_result(k, F.col("n")).alias("r")).select("r.*"))
-            elif k.kind == "key":  # as a unique constraint: a key with a NULL equals no other
-                keyed = df.dropna(subset=list(k.columns))
-                parts.append(duplicate_keys(keyed, *k.columns).select(_result(k, F.col("n")).alias("r")).select("r.*"))
-            elif k.kind == "unique":
-                parts.append(duplicate_keys(df, k.column).select(_result(k, F.col("n_rows")).alias("r")).select("r.*"))
-            elif k.kind == "references":
+            if k.kind == "references":
                 lost = orphans(df, k.column, tables[k.parent], k.parent_column or k.column)
                 total = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
                 parts.append(total.select(_result(k, F.col("n")).alias("r")).select("r.*"))
@@ -201,6 +229,20 @@ def definition_checks(table: str, stage: str = "load") -> list[Check]:
     return checks + [Check(stage, "length", table, c, max_length=n) for c, n in definition.limits.items()]
 
 
+def stage_suite(stage: str) -> list[Check]:
+    """Checks right after a stage of the daily run: 8 after `extract`, 4 after `transform`, 6 after `load`."""
+    if stage == "extract":
+        return ([Check(stage, "not_empty", f"raw.{s}") for s in SHOP_COLUMNS] + [Check(stage, "cdc", f"raw.{s}") for s in SHOP_COLUMNS])
+    if stage == "transform":
+        return [Check(stage, "rows", "staging.stg_books", min_rows=0), Check(stage, "duplicates", "staging.stg_books", "product_id"),
+                *(Check(stage, "not_null", "staging.stg_books", c) for c in ("product_id", "name"))]
+    if stage != "load":
+        raise ValueError(f"no checks after stage {stage}")
+    return [*(Check(stage, "unique", f"marts.{t}", key) for t, key, _ in MART_IDS),
+            *(Check(stage, "not_null", f"marts.{t}", name) for t, _, name in MART_IDS),
+            Check(stage, "rows", "marts.dim_books", min_rows=0), Check(stage, "lineage", "lineage.data_lineage")]
+
+
 def by_stage(results: DataFrame, stage: str) -> DataFrame:
     return results.filter(F.col("stage") == stage)
 

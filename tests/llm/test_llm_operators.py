@@ -365,6 +365,14 @@ def test_embedding_shards_split_and_meet_in_blocks(spark):
 
 # 6. Quality.
 
+def test_the_training_sample_is_bounded_by_rows(spark):
+    """One labelled id on many rows: repeats count once, different texts not above the bound."""
+    rows = [(1, "same text")] * 50 + [(2, f"other {k}") for k in range(50)] + [(3, "alone"), (4, None), (None, "nobody")]
+    labels = spark.createDataFrame([(1, 0), (2, 2), (3, 1), (4, 1), (9, 1), (None, 2)], "doc_id long, grade int")
+    found, share = quality.sample(documents(spark, rows), labels, per_grade=7)
+    assert Counter(r.grade for r in found.collect()) == {0: 1, 1: 2, 2: 7} and share.tolist() == [1, 3, 1]
+
+
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

@@ -29,7 +29,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from vitrine.llm.common import whole
 
@@ -131,8 +131,9 @@ def fit_model(row: np.ndarray, number: np.ndarray, value: np.ndarray, grades: np
     return Model(weights.astype(np.float32), np.array([cuts[0], cuts[0] + math.exp(cuts[1])]))
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", per_grade: int = 2000) -> Model:
-    """Fit on at most `per_grade` labelled documents of each grade; `labels` has the document id and `grade`."""
+def sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", per_grade: int = 2000) -> tuple[DataFrame, np.ndarray]:
+    """(grade, text) of at most `per_grade` labelled documents of each grade, and how many ids have each grade. A document
+    counts once per id and text, however often its row is repeated; of many texts under one id, hash order decides."""
     graded = labels.select(F.col(doc_id).alias("label_id"), "grade").dropna().groupBy("label_id").agg(F.min("grade").alias("grade"))
     share = np.zeros(GRADES)
     for r in graded.groupBy("grade").count().collect():
@@ -140,6 +141,14 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     parts = [graded.filter(F.col("grade") == g).orderBy(F.xxhash64("label_id"), "label_id").limit(per_grade) for g in range(GRADES)]
     picked = F.broadcast(parts[0].unionByName(parts[1]).unionByName(parts[2]))  # at most GRADES * per_grade ids
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(picked, F.col("id") == F.col("label_id"))
+    once = rows.withColumn("digest", F.md5("text")).groupBy("id", "digest").agg(F.first("grade").alias("grade"), F.first("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("grade").orderBy(F.xxhash64("id", "digest"), "id", "digest"))
+    return once.withColumn("place", place).filter(F.col("place") <= per_grade).select(F.col("grade").cast("int").alias("grade"), "text"), share
+
+
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", per_grade: int = 2000) -> Model:
+    """Fit on at most `per_grade` labelled documents of each grade; `labels` has the document id and `grade`."""
+    rows, share = sample(docs, labels, doc_id, text, per_grade)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
@@ -148,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32()))],
                 names=["grade", "numbers", "values"])
-    found = rows.select(F.col("grade").cast("int").alias("grade"), "text").mapInArrow(
+    found = rows.mapInArrow(
         run, "grade int, numbers array<int>, values array<float>").toArrow()
     if not found.num_rows:
         return Model(np.zeros(BUCKETS, np.float32), np.array([-1.0, 0.0]))

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,3 +147,52 @@ def test_selectors(css, expected):
 def test_cap_holds_for_a_hot_source(spark):
     df = spark.range(3000).select(F.lit("hot").alias("source"), F.lit("q").alias("query"), F.col("id").alias("pos"))
     assert [r.pos for r in capped(df, ["source", "query"], ["pos"], 1500).orderBy("pos").collect()] == list(range(1500))
+
+
+PLAIN = [
+    '<div class="product" id="a">', "<div class='item x' data-id=\"&amp;1\">", "<p>", "</p>", "<li>", "<b>", "</b>", "text ", "&amp; x",
+    '<a href="/product/1">', '<a href="x&lt;" HREF="product" title>', "</a>", "<br>", "<br/>", "<DIV>", "</DIV >", "</div>",
+    '<script>var a="</p>";</script>', "<title>t</title>", "<!-- c -->", "<!doctype html>", '<span class="price">', "</span>"]
+ODD = ["< ", "<", '"', "<a href=product>", "<?pi?>", "<script/>", "<!-- a -- b -->", "<title>t &lt; <b>u</title>", "</ p>", "<textarea>"]
+
+
+def test_pages_are_read_as_the_tree_reads_them():
+    cards = "div.product, div.item"
+    profiles = [(html.CARDS.items, list(html.CARDS.fields.values())), (html.DETAIL.items, list(html.DETAIL.fields.values())),
+                (("div", "p"), ["b:last-child::text, p::text", "div div a:last-child::attr(href)", "*::attr(class)", "::text"]),
+                (None, [cards.replace(",", "::attr(class),") + "::attr(class)", "a[href*='product']::attr(href)"])]
+    draw = random.Random(7)
+    for turn in range(2000):
+        parts = PLAIN + ODD if turn % 2 else PLAIN
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 40)))
+        items, fields = profiles[turn % len(profiles)]
+        reader, page = markup.Reader(items, fields), markup.parse(text)
+        tops = [page] if items is None else next(
+            (hits for css in items if (hits := markup.select(page, markup.compile_selector(css)))), [])
+        assert reader.read(text) == [markup.values(top, [markup.compile_selector(f) for f in fields]) for top in tops], text
+        assert reader.read(None) == ([[[] for _ in fields]] if items is None else [])
+
+
+def test_plain_pages_are_read_without_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(markup, "parse", None)
+    page = "".join(PLAIN) + '<div class="item" id="z"><h2>x</h2></div>'
+    reader = markup.Reader(html.CARDS.items, list(html.CARDS.fields.values()))
+    assert reader.read(page)[-1][:2] == [["z"], ["x"]]
+
+
+def test_what_a_task_holds_of_long_pages_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(html, "HELD_CHARS", 1000)
+    monkeypatch.setattr(html, "HELD_ROWS", 3)
+    card = '<div class="item" id="z"><h2>x</h2></div>'
+    many = pages(spark, *[card * (i % 5) + "y" * 300 * (i % 3) for i in range(40)], None)
+    found = html.extract(many.coalesce(1), html.CARDS)
+    assert sorted(rows(found.groupBy("page_id").count())) == [(i, i % 5) for i in range(40) if i % 5]
+    assert rows(found.select("pos").distinct()) == [(0,), (1,), (2,), (3,)]
+
+
+def test_steps_up_of_links(spark):
+    links = {"../x": "https://h/a/x", "../../x?q": "https://h/x?q", "../../../../x": "https://h/x", "../": "https://h/a/", "..": "https://h/a/",
+             "../c/../d": "https://h/a/d", "../../": "https://h/"}
+    page = "".join(f'<a href="{h}">x</a>' for h in links)
+    found = html.page_links(pages(spark, page, url="https://h/a/b/c")).orderBy("pos").collect()
+    assert [r.link for r in found] == list(links.values())

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from vitrine.session import spread
 from vitrine.sources import html, markup, payloads
 from vitrine.sources.payloads import capped
 
@@ -196,3 +197,14 @@ def test_steps_up_of_links(spark):
     page = "".join(f'<a href="{h}">x</a>' for h in links)
     found = html.page_links(pages(spark, page, url="https://h/a/b/c")).orderBy("pos").collect()
     assert [r.link for r in found] == list(links.values())
+
+
+def test_rows_of_one_row_group_reach_all_tasks(spark, tmp_path):
+    spark.range(20000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")).coalesce(1).write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        dealt = spread(spark.read.parquet(str(tmp_path / "t")))
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(sizes) == 20000 and len(sizes) >= 8 and max(sizes) < 2 * min(sizes)

@@ -181,6 +181,33 @@ def test_plain_pages_are_read_without_a_tree(spark, monkeypatch):
     assert reader.read(page)[-1][:2] == [["z"], ["x"]]
 
 
+def test_pages_of_one_layout_are_looked_through_once(monkeypatch):
+    monkeypatch.setattr(markup.Reader, "_scan", None)
+    looked, layout = [], markup.Reader._layout
+    monkeypatch.setattr(markup.Reader, "_layout", lambda self, numbers: looked.append(numbers) or layout(self, numbers))
+    reader = markup.Reader(html.CARDS.items, list(html.CARDS.fields.values()))
+    for i in range(50):
+        page = f"""<title>t</title><div class='item' id="{i}&amp;'"><h2>n{i}&lt;</h2><img src='{i}"'></div><p class="item">{'x' * (i % 2)}"""
+        found = dict(zip(html.CARDS.fields, reader.read(page)[0]))
+        assert (found["product_id"], found["name"], found["image_url"]) == ([f"{i}&'"], [f"n{i}<"], [f'{i}"'])
+    assert len(looked) == 1
+
+
+def test_layouts_and_tags_kept_are_bounded(monkeypatch):
+    monkeypatch.setattr(markup.Reader, "REMEMBERED", 20)
+    monkeypatch.setattr(markup.Reader, "LAYOUT_TAGS", 50)
+    reader, draw = markup.Reader(("div.product", "div"), ["a::attr(href)", "::text", "[title]::attr(title)"]), random.Random(3)
+    compiled = [markup.compile_selector(f) for f in ("a::attr(href)", "::text", "[title]::attr(title)")]
+    some = ["<div class='product'>", '<div>', "</div>", "x", "<p>", "<li>", "</li>", "</a >", "<title>", "</title>", "&amp;", "<b title>"]
+    for i in range(1500):
+        new = [f'<a class="c{i}" href="{i}&gt;\'">', f"<a x{i % 90}='1'>", f'<a title="{i}" TITLE=\'2\'>', "<a href=", '<a "b', "<a 'b'>"]
+        text = "".join(draw.choice(some if draw.random() < 0.9 else new) for _ in range(draw.randint(0, 12)))
+        page = markup.parse(text)
+        tops = next((hits for css in ("div.product", "div") if (hits := markup.select(page, markup.compile_selector(css)))), [])
+        assert reader.read(text) == [markup.values(top, compiled) for top in tops], text
+        assert len(reader.numbers) <= 20 and len(reader.kinds) <= 100 and reader.layout_tags <= 50
+
+
 def test_what_a_task_holds_of_long_pages_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(html, "HELD_CHARS", 1000)
     monkeypatch.setattr(html, "HELD_ROWS", 3)

@@ -226,6 +226,15 @@ def test_cut():
     assert paragraph_dedup.cut(text, [(0, 9)]) == ""
 
 
+def test_parts_are_counted_in_the_words_of_the_encoded_text():
+    hashes = np.random.default_rng(5).integers(0, 9, 3000).astype(np.uint64)
+    least = [min(range(i, i + 7), key=lambda k: (hashes[k], k)) for i in range(len(hashes) - 6)]
+    again = {i for i in range(len(hashes)) if hashes[i] in hashes[max(i - 6, 0):i]}
+    assert paragraph_dedup.piece_starts(hashes, 7).tolist() == sorted(set(least) - again)
+    raw = "a\u00a0b c\x0bd\x1ce\n\u2028f g h\n\n i j\tk l ".encode()
+    assert paragraph_dedup.parts_of(raw, hashes[:2], 4, 3, 2) == [(0, 3), (6, 4)]
+
+
 def test_paragraphs_in_blocks(spark):
     rows = [(k, prose(70, 50).replace(" ", f" w{k} ", 1)) for k in range(90)]
     table = documents(spark, rows)

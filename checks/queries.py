@@ -13,7 +13,7 @@ from vitrine.functions import derive as dv, text as tx
 from vitrine.operators import dedup, health, items, lineage, quality, upsert
 from vitrine.plans import daily, marts, raw_load, reports, sales, staging
 from vitrine.schemas import SHOPS, drop_schema
-from vitrine.session import scratch_path, stored
+from vitrine.session import in_parallel, scratch_path, stored
 from vitrine.sources import files, html, payloads, testdata as td
 from vitrine.sources.catalog import Warehouse, row_counts
 from vitrine.streaming import drops
@@ -629,15 +629,20 @@ def json_export(spark, sf):
     return spark.read.schema(rows.schema).option("timestampFormat", files.ISO_OUT).json(path)
 
 
-def _write_drops(spark, sf, shops=SHOPS) -> str:
+def _write_drops(spark, sf, shops=SHOPS, snapshots=None) -> str:
+    """Drop files of the shops, of `snapshots` if these are stored already; they are computed once, not per shop."""
     path = scratch_path(spark, "drops")
     renamed = {"americanas": {"original_price": "list_price", "reviews_count": "available_quantity"},
                "kabum": {"original_price": "old_price"}}
-    for shop in shops:
-        rows = td.drop_items(spark, sf, shop).withColumnsRenamed(renamed.get(shop, {}))
+    snapshots = stored(td.drop_items(spark, sf), "snapshots") if snapshots is None else snapshots
+
+    def write(shop: str) -> None:
+        rows = snapshots.filter(F.col("source") == shop).withColumnsRenamed(renamed.get(shop, {}))
         if shop == "kabum":
             rows = rows.withColumn("stock", F.col("reviews_count"))
         files.export_items(rows, path, shop, td.RUN_TIME, ("json",) if shop in ("books", "kabum") else ("parquet",))
+
+    in_parallel(spark, write, shops)
     return path
 
 
@@ -657,9 +662,10 @@ def raw_load_tables(spark, sf):
 def daily_run_products(spark, sf):
     """The whole gated run: files to raw, staging, marts, report; checks in between. Gives the reported products."""
     house = _house(spark)
-    newest = td.drop_items(spark, sf).agg(F.max("scraped_at")).first()[0]
+    snapshots = stored(td.drop_items(spark, sf), "snapshots")
+    newest = snapshots.agg(F.max("scraped_at")).first()[0]
     run_time = datetime.strptime(newest[:19], "%Y-%m-%d %H:%M:%S") + timedelta(hours=1)
-    daily.daily_run(house, _write_drops(spark, sf), run_time)
+    daily.daily_run(house, _write_drops(spark, sf, snapshots=snapshots), run_time)
     return house.read("report.dim_products").select(
         "id", "product_name", "brand", "price", "original_price", "discount_percentage", "category", "seller",
         "source", "price_tier", "scraped_at")
@@ -670,9 +676,10 @@ def stage_check_rows(spark, sf):
     """What the daily run records after loading, transforming and publishing. How many files were loaded, and so the text of
     the lineage check, depends on the cores that wrote them."""
     house = _house(spark)
-    newest = td.drop_items(spark, sf).agg(F.max("scraped_at")).first()[0]
+    snapshots = stored(td.drop_items(spark, sf), "snapshots")
+    newest = snapshots.agg(F.max("scraped_at")).first()[0]
     run_time = datetime.strptime(newest[:19], "%Y-%m-%d %H:%M:%S") + timedelta(hours=1)
-    daily.daily_run(house, _write_drops(spark, sf), run_time)
+    daily.daily_run(house, _write_drops(spark, sf, snapshots=snapshots), run_time)
     return house.read("lineage.stage_checks").select(
         "stage", "test", "status", F.when(F.col("test") != "lineage_exists", F.col("message")).alias("message"))
 

@@ -353,3 +353,28 @@ def test_stream_first_seen_and_late_rows(spark, tmp_path):
     feed(("9", "z", day(20)))
     feed(("7", "late", day(1)))  # behind the watermark
     assert ("7", "late") not in rows(spark.read.parquet(out), "product_id", "source")
+
+
+def test_file_results_count_keys_without_sorting_rows(spark):
+    table = spark.createDataFrame(
+        [("file:/d/a.json", "1", None), ("file:/d/a.json", "1", None), ("file:/d/a.json", None, None), ("file:/d/a.json", None, None),
+         ("file:/d/a.json", None, "{z"), ("file:/d/b.parquet", None, "{y"), ("file:/d/b.parquet", None, "{x"), ("file:/d/c.json", "2", None)],
+        f"_file string, product_id string, {files.CORRUPT} string")
+    listed = spark.createDataFrame([(f"file:///d/{n}",) for n in ("a.json", "b.parquet", "c.json", "d.parquet", "e.json")], "_file string")
+    found = raw_load.file_results(listed, "books", table, ("product_id",))
+    assert sorted(rows(found.select("file", "status", "count", "error")), key=lambda r: r[0]) == [
+        ("/d/a.json", "partial", 2, "1 records not readable as JSON"), ("/d/b.parquet", "error", 0, "{x"), ("/d/c.json", "success", 1, None),
+        ("/d/d.parquet", "error", 0, "no rows"), ("/d/e.json", "success", 0, None)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.split("\n") if "SortAggregate" in line and "product_id" in line]
+
+
+def test_snapshots_of_all_shops_are_computed_once(spark, monkeypatch):
+    from checks import queries
+    from vitrine.sources import testdata
+    asked, drop_items = [], testdata.drop_items
+    monkeypatch.setattr(testdata, "drop_items", lambda *a: asked.append(a) or drop_items(*a))
+    path = queries._write_drops(spark, "/root/testdata/sf0.001")
+    written = [spark.read.format(kind).load(f"{path}/{shop}/*").count()
+               for shop, kind in (("books", "json"), ("kabum", "json"), ("amazon", "parquet"), ("americanas", "parquet"))]
+    assert len(asked) == 1 and sum(written) == drop_items(spark, "/root/testdata/sf0.001").count()

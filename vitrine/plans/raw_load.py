@@ -98,11 +98,12 @@ def file_results(files: DataFrame, shop: str, drops: DataFrame, keys: tuple[str,
     """Per drop file: status, records after removing repeats within the file, and the error."""
     plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
     found = files.select(plain("_file").alias("file"), F.col("_file").endswith(".parquet").alias("columnar"))
-    # The path is made plain once per file, not per row.
-    read = (drops.groupBy("_file", F.col(CORRUPT).isNull().alias("sound"), *keys)
-            .agg(F.count(CORRUPT).alias("bad"), F.min(CORRUPT).alias("text"))
-            .groupBy("_file").agg(F.count_if("sound").alias("records"), F.sum("bad").alias("bad"), F.min("text").alias("text"))
-            .withColumn("file", plain("_file")).drop("_file"))
+    # Texts are compared of refused rows only: the distinct keys of all others are counted without a sort. The path is made
+    # plain once per file, not per row.
+    sound = (drops.filter(F.col(CORRUPT).isNull()).select("_file", *keys).distinct()
+             .groupBy("_file").agg(F.count("*").alias("records")))
+    refused = drops.filter(F.col(CORRUPT).isNotNull()).groupBy("_file").agg(F.count("*").alias("bad"), F.min(CORRUPT).alias("text"))
+    read = sound.join(refused, "_file", "full").withColumn("file", plain("_file")).drop("_file")
     joined = found.join(read, "file", "left")
     records = F.coalesce("records", F.lit(0))
     error = (F.when(F.col("columnar") & (F.col("bad") > 0), F.col("text"))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from test_llm_operators import documents, odd_documents, prose
@@ -77,6 +78,17 @@ def test_alignment_forgets_stretches(spark, monkeypatch):
     assert own.cleared > 2
 
 
+def test_alignment_needs_the_ids_alone():
+    """Ends of tokens follow from the lengths of their bytes: no offsets are asked of sentencepiece."""
+    own = token_alignment.Aligner(token_alignment.BYTE_BPE, token_alignment.PIECE_BPE)
+    ids, texts = own.b.encode, ["é漢🙂 a\n\n b", "two  words, ½ ▁ <0x0A>", "\n", " "]
+    own.b = type("Ids", (), {"encode": staticmethod(lambda given, out_type: ids(given, out_type=out_type))})
+    for text, want in zip(texts, brute_alignment(texts)):
+        (_, (found,)), = own.batches(pa.array([text]))
+        assert tuple(own.sizes[found].sum(axis=0).tolist()) == tuple(want[:4])
+        assert "".join(own.groups[k] for k in found.tolist())[:-1] == want[-1]
+
+
 def test_alignment_of_odd_tables(spark):
     docs = odd_documents(spark)
     found = token_alignment.digests(docs).collect()

@@ -4,9 +4,8 @@ Both tokenizers work within stretches of text: neither joins a character that is
 that follows it, nor a letter to a mark that follows it (checked against the vocabularies when they are loaded; where that
 does not hold, the whole text is one stretch). A stretch is tokenized once per task for all its occurrences.
 
-1. Token ends in bytes: the character offsets of `tokenizers` and the byte spans of sentencepiece (its offset mapping, which
-   took the place of the immutable proto) are coarse cuts. Tokens that share a character or have an empty span (parts of
-   multibyte characters, byte fallback) are refined with their decoded bytes. The bytes of all tokens must be the text.
+1. Token ends in bytes: the lengths of the tokens' decoded bytes, added up. The bytes of all tokens must be the text, so that
+   parts of multibyte characters and byte fallback need no care.
 2. Offsets where tokens of both sides end cut a stretch into groups; two tokens whose byte ranges overlap are linked. The
    links of each document are written once, as one number a link.
 3. Links of each pair of ids are counted over the corpus, summed per batch before the shuffle.
@@ -58,16 +57,6 @@ def _byte_of_char() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + n): b for n, b in enumerate(sorted(set(range(256)) - set(plain)))}}
 
 
-def refined(starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """End offsets of consecutive tokens: coarse ends, but where a token has an empty span or shares characters with a
-    neighbour the lengths of the decoded bytes decide."""
-    torn = ends == starts
-    overlap = starts[1:] < ends[:-1]
-    torn[1:] |= overlap | torn[:-1]
-    torn[:-1] |= overlap | (ends[1:] == starts[1:])
-    return np.where(torn, np.cumsum(sizes), ends)
-
-
 class Aligner:
     """Both tokenizers and what is known of the stretches seen; one per task."""
 
@@ -121,18 +110,14 @@ class Aligner:
         # sentencepiece puts a space before what it is given: that of the stretch, or one to be taken off again. A line break
         # between that one and another first character keeps them apart.
         given = [s[1:] if s[0] == " " else s if s[0] == "\n" else "\n" + s for s in new]
-        b = self.b.encode(given, return_type="offset_mapping", return_bytes=True)
-        a_ids, a_spans = [x.ids for x in a], [x.offsets for x in a]
-        b_ids, b_spans = [x["ids"] for x in b], [x["offsets"] for x in b]
+        b_ids = self.b.encode(given, out_type=int)
+        a_ids = [x.ids for x in a]
         for i, s in enumerate(new):
             if s == " ":
-                b_ids[i], b_spans[i] = [self.gap], [(0, 0)]
+                b_ids[i] = [self.gap]
             elif s[0] != " ":
-                extra = 1 if s[0] == "\n" else 2
-                b_ids[i], b_spans[i] = (b_ids[i][extra:], b_spans[i][extra:]) if b_ids[i][:1] == [self.gap] else ([], [])
-        if any(b"".join(map(pieces.__getitem__, chain.from_iterable(ids))) != b"".join(raws)
-               or [sum(map(sizes, own)) for own in ids] != [len(x) for x in raws]
-               for ids, pieces, sizes in ((a_ids, self.a_bytes, self.a_sizes.tolist().__getitem__), (b_ids, self.b_bytes, self.b_sizes.tolist().__getitem__))):
+                b_ids[i] = b_ids[i][1 if s[0] == "\n" else 2:] if b_ids[i][:1] == [self.gap] else []
+        if not self._sound(raws, a_ids, self.a_bytes, self.a_sizes) or not self._sound(raws, b_ids, self.b_bytes, self.b_sizes):
             sound = [all(b"".join(map(pieces.__getitem__, own)) == raw for own, pieces in ((x, self.a_bytes), (y, self.b_bytes)))
                      for x, y, raw in zip(a_ids, b_ids, raws)]
             for i in (i for i, ok in enumerate(sound) if not ok):
@@ -140,26 +125,26 @@ class Aligner:
                 self.groups.append("")
                 self.sizes = np.append(self.sizes, [[-1, 0, 0, 0]], axis=0)
             order = [i for i, ok in enumerate(sound) if ok]
-            new, raws, a_ids, a_spans, b_ids, b_spans = ([x[i] for i in order] for x in (new, raws, a_ids, a_spans, b_ids, b_spans))
-        self._align(new, raws, a_ids, a_spans, b_ids, b_spans)
+            new, raws, a_ids, b_ids = ([x[i] for i in order] for x in (new, raws, a_ids, b_ids))
+        self._align(new, raws, a_ids, b_ids)
         self.chars += sum(map(len, new))
 
-    def _align(self, new, raws, a_ids, a_spans, b_ids, b_spans) -> None:
+    @staticmethod
+    def _sound(raws: list[bytes], ids: list[list[int]], pieces: list[bytes], sizes: np.ndarray) -> bool:
+        """Whether the bytes of the tokens are those of the stretches, of all and of each."""
+        flat = list(chain.from_iterable(ids))
+        ends = np.cumsum(np.append(0, sizes[np.array(flat, np.int64)]))[np.cumsum([len(x) for x in ids])]
+        return b"".join(map(pieces.__getitem__, flat)) == b"".join(raws) and bool((ends == np.cumsum([len(x) for x in raws])).all())
+
+    def _align(self, new: list[str], raws: list[bytes], a_ids: list[list[int]], b_ids: list[list[int]]) -> None:
         """Align stretches side by side, at byte offsets in all of them together."""
         if not new:
             return
-        flat = lambda lists: np.fromiter(chain.from_iterable(lists), np.int64)
-        points = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), np.uint32)
-        byte_at = np.cumsum(np.concatenate([[0], 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)]))
-        chars, sizes = np.cumsum([0, *map(len, new)]), np.cumsum([0, *map(len, raws)])
+        sizes = np.cumsum([0, *map(len, raws)])
         n_a, n_b = np.array([len(x) for x in a_ids]), np.array([len(x) for x in b_ids])
-        a, b = flat(a_ids), flat(b_ids)
-        at = flat(chain.from_iterable(a_spans)).reshape(-1, 2) + np.repeat(chars[:-1], n_a)[:, None]
-        a_ends = refined(byte_at[at[:, 0]], byte_at[at[:, 1]], self.a_sizes[a])
-        # The spans do not count the space that was added, but a line break put before another first character.
-        first = sizes[:-1] + [1 if s[0] == " " else 0 if s[0] == "\n" else -1 for s in new]
-        at = flat(chain.from_iterable(b_spans)).reshape(-1, 2) + np.repeat(first, n_b)[:, None]
-        b_ends = refined(at[:, 0], at[:, 1], self.b_sizes[b])
+        a, b = (np.array(list(chain.from_iterable(x)), np.int64) for x in (a_ids, b_ids))
+        # The tokens' bytes are the text's, so that their lengths give the ends.
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         cuts, both = np.union1d(a_ends, b_ends), np.intersect1d(a_ends, b_ends, assume_unique=True)
         # Every piece between cuts lies in one token of each side.
         links = a[np.searchsorted(a_ends, cuts)] * self.width + b[np.searchsorted(b_ends, cuts)]

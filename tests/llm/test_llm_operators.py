@@ -336,6 +336,23 @@ def test_edit_distance_against_the_table():
             assert got == row[-1] if row[-1] <= most else most < got <= row[-1], (a, b, most)
 
 
+def test_most_pairs_of_lines_are_decided_without_their_distance(monkeypatch):
+    """Bounds of the edit distance hold, and spare most pairs the measuring; what is linked stays what brute force links."""
+    rng, forms = random.Random(17), []
+    for k in range(120):
+        words = prose(rng.choice((3, 12, 40)), 800 + k).split()
+        forms += [" ".join(w if rng.random() > share else rng.choice([w[1:], "é漢", w + " w", rng.choice(VOCABULARY)]) for w in words) for share in (0, .05, .15, .3)]
+    a, b = np.array([(i, j) for i in range(len(forms)) for j in range(i + 1, min(i + 9, len(forms)))]).T
+    near = [line_dedup.similar(forms[i], forms[j], .8) for i, j in zip(a, b)]
+    assert not (line_dedup._apart(forms, a, b, .8) & near).any()
+    assert all(line_dedup.word_bound(forms[i], forms[j], 1e9) >= line_dedup.edit_distance(forms[i], forms[j]) for i, j in zip(a, b))
+    measured = []
+    monkeypatch.setattr(line_dedup, "similar", lambda x, y, least, own=line_dedup.similar: measured.append(x) or own(x, y, least))
+    links = line_dedup._forest(forms, a, b, .8)
+    want = union_find(range(len(forms)), [(i, j) for i, j, ok in zip(a.tolist(), b.tolist(), near) if ok])
+    assert union_find(range(len(forms)), links) == want and len(links) == len(forms) - len(set(want.values())) and len(measured) < len(a) / 4
+
+
 # 5. Embeddings.
 
 def test_embeddings_agree_with_brute_force(spark):

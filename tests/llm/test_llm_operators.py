@@ -353,6 +353,26 @@ def test_most_pairs_of_lines_are_decided_without_their_distance(monkeypatch):
     assert union_find(range(len(forms)), links) == want and len(links) == len(forms) - len(set(want.values())) and len(measured) < len(a) / 4
 
 
+def test_pairs_of_lines_are_measured_together(monkeypatch):
+    """Pairs that no bound decides are measured side by side, with the answers of one distance at a time."""
+    rng, a, b = random.Random(23), [], []
+    for k in range(900):
+        text = "".join(rng.choice("abcde é漢𝒜") for _ in range(rng.choice((0, 1, 63, 64, 65, 130, 300, 700))))
+        a.append(text)
+        b.append("".join(ch if rng.random() > .25 * (k % 3) else rng.choice(("", "x", ch + "y")) for ch in text))
+    most = np.array([.2 * max(len(x), len(y)) + 1e-9 for x, y in zip(a, b)])
+    want = [line_dedup.edit_distance(x, y) <= m for x, y, m in zip(a, b, most)]
+    for cells in (1 << 22, 1 << 13):
+        monkeypatch.setattr(line_dedup, "CELLS", cells)
+        assert line_dedup._near(a, b, most).tolist() == want and 100 < sum(want) < 800
+    alone = []
+    monkeypatch.setattr(line_dedup, "edit_distance", lambda x, y, most=None, own=line_dedup.edit_distance: alone.append(x) or own(x, y, most))
+    forms = [x for x in a + b if len(x) > 50]
+    first = np.arange(len(forms) // 2)
+    links = line_dedup._forest(forms, first, first + len(first), .8)
+    assert links and len(alone) < len(first) / 20
+
+
 # 5. Embeddings.
 
 def test_embeddings_agree_with_brute_force(spark):

@@ -219,6 +219,27 @@ def test_passages_inside_paragraphs(spark):
     assert all(left[i] == t for i, t in rows[:40] + clean) and all(len(left[i].split()) <= len(t.split()) - 25 for i, t in rows[40:])
 
 
+def test_pieces_of_short_texts(spark):
+    """Texts of fewer words than a passage have pieces as all others have them."""
+    shared = [prose(40, 8000 + k) for k in range(20)]
+    rows = [(k, text) for k, text in enumerate(shared)] + [(100 + k, f"{text} {prose(20, 8100 + k)}") for k, text in enumerate(shared)]
+    found = paragraph_dedup.removals(documents(spark, rows)).collect()
+    assert {(r.doc_id, r.kept_doc_id) for r in found} == {(100 + k, k) for k, text in enumerate(shared) if naive_parts(text)}
+    assert len(found) >= 10 and all(r.n_words == 25 for r in found)
+
+
+def test_paragraphs_meet_wherever_they_are_read_first(spark):
+    """Two near paragraphs stand in one document that is read first; an earlier document has one of them as well."""
+    rows, want = [], []
+    for k in range(0, 400, 10):
+        a = prose(80, 8200 + k)
+        b = " ".join("other" if n == 3 else w for n, w in enumerate(a.split()))
+        rows += [(k + 5, f"{a}\n{b}"), (k + 1, a), (k + 9, b)]
+        want += [(k + 5, 0, k + 1), (k + 5, 80, k + 1), (k + 9, 0, k + 1)]
+    found = paragraph_dedup.removals(documents(spark, rows).coalesce(1), recall=1 - 1e-9).filter("n_words = 80").collect()
+    assert sorted((r.doc_id, r.first_word, r.kept_doc_id) for r in found) == want
+
+
 def test_cut():
     text = "a b c d\ne f g\nh i"
     assert paragraph_dedup.cut(text, [(1, 2), (2, 1)]) == "a d\ne f g\nh i" and paragraph_dedup.cut(text, [(4, 3)]) == "a b c d\nh i"

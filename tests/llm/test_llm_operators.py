@@ -3,7 +3,9 @@
 import base64
 import hashlib
 import json
+import os
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F, types as T
 import corpus_pipeline
 from vitrine.llm import (common, decontaminate, embedding_dedup, html_text, line_dedup, mixing, paragraph_dedup, quality,
                          secret_scan, simhash, warc)
+from vitrine.session import removed, stored
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -321,6 +324,35 @@ def test_lines_by_edit_similarity_alone(spark, docs):
     assert len(set(heads.values())) >= len({first[i] for i, f in enumerate(forms) if at[f][0] in heads})
 
 
+def test_sections_in_rounds(spark):
+    """Rounds give the links that all sections together give; written tables leave no shuffle files, used ones go."""
+    base, rng = prose(24, 60).split(), random.Random(6)
+    table = documents(spark, [(k, "\n".join(" ".join(rng.choice(VOCABULARY) if rng.random() < .06 else w for w in base[:n]) for n in (7, 24))) for k in range(60)])
+    folders = [f.getPath() for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffles = lambda: {f for top in folders for _, _, files in os.walk(top) for f in files if f.startswith("shuffle_")}
+    before = shuffles()
+    own = stored(line_dedup.sets(table), "sets")
+    hot = [r.key for r in line_dedup.dealt(own, "keys1").select("key").distinct().collect()]
+    kept = shuffles()
+    in_rounds = stored(line_dedup.candidates([line_dedup.dealt(own, f"keys{k}", hot) for k in range(line_dedup.ROUNDS)], .8), "found")
+    at_once = stored(line_dedup.candidates(line_dedup.sections(table, hot=hot), .8), "found")
+    for _ in range(100):
+        if not shuffles() - kept:
+            break
+        time.sleep(.1)
+    assert not shuffles() - kept and kept >= before
+    distinct = line_dedup.distinct_parts(line_dedup.lines(table, prints=False))
+
+    def together(found):
+        links = [(bytes(r.a), bytes(r.b)) for r in line_dedup.edit_links(table, distinct, "doc_id", "text", .8, found=found).collect()]
+        return union_find({x for both in links for x in both}, links)
+    assert len(together(in_rounds)) > 60 and together(in_rounds) == together(at_once) == together(None)
+    folder = os.path.dirname(in_rounds.inputFiles()[0].removeprefix("file://"))
+    assert os.path.exists(folder)
+    removed(in_rounds)
+    assert not os.path.exists(folder) and at_once.count() > 60
+
+
 def test_each_pair_of_lines_is_looked_at_however_keys_are_dealt(spark):
     """Small keys, large ones, keys beyond `most` and hot keys give the same groups, nearly all that brute force gives."""
     base, rng = prose(24, 60).split(), random.Random(5)
